@@ -83,3 +83,32 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.delete(hpath, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers (the ``--py-files`` way).
+
+    Zips the package once per application and adds it with ``addPyFile``, which
+    distributes it to every executor, current and future.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="pairrank-pyfiles-")
+    archive = os.path.join(out_dir, "pairrank.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in folder:
+                continue
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
