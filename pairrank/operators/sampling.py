@@ -113,12 +113,12 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int) -> DataFra
     tried = (draws.withColumn("_cand", cand)
              .join(seen_pairs, ["user_idx", "_cand"], "left")
              .withColumn("neg_idx", F.when(F.col("_hit").isNull(), F.col("_cand")))
-             .drop("_cand", "_hit")
-             .persist())
+             .drop("_cand", "_hit"))
     accepted = tried.where(F.col("neg_idx").isNotNull())
     rejected = (tried.where(F.col("neg_idx").isNull()).drop("neg_idx")
                 .withColumn("r", uniform_below(F.lit(n) - F.col("n_items"), *_draw_keys(seed, "neg"))))
     resolved = unrank_unseen(rejected, data.seen, n).drop("r")
+    # both branches read the same join; its shuffles are planned once and reused
     return accepted.unionByName(resolved)
 
 
