@@ -110,15 +110,17 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int) -> DataFra
     n = data.num_items
     cand = (uniform_below(F.lit(n), *_draw_keys(seed, "cand")) + 1).cast("bigint")
     seen_pairs = data.seen.select("user_idx", F.col("item_idx").alias("_cand"), F.lit(True).alias("_hit"))
-    tried = (draws.withColumn("_cand", cand)
-             .join(seen_pairs, ["user_idx", "_cand"], "left")
-             .withColumn("neg_idx", F.when(F.col("_hit").isNull(), F.col("_cand")))
-             .drop("_cand", "_hit"))
+    # read three times below (accepted, rejected, their users): written once
+    tried = materialise(
+        draws.withColumn("_cand", cand)
+        .join(seen_pairs, ["user_idx", "_cand"], "left")
+        .withColumn("neg_idx", F.when(F.col("_hit").isNull(), F.col("_cand")))
+        .drop("_cand", "_hit"),
+        "tried-negatives")
     accepted = tried.where(F.col("neg_idx").isNotNull())
     rejected = (tried.where(F.col("neg_idx").isNull()).drop("neg_idx")
                 .withColumn("r", uniform_below(F.lit(n) - F.col("n_items"), *_draw_keys(seed, "neg"))))
     resolved = unrank_unseen(rejected, data.seen, n).drop("r")
-    # both branches read the same join; its shuffles are planned once and reused
     return accepted.unionByName(resolved)
 
 
