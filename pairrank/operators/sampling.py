@@ -105,18 +105,25 @@ def unrank_unseen(draws: DataFrame, seen: DataFrame, num_items: int, r_col: str
     return counted.withColumn(out_col, (F.col(r_col) + 1 + F.col("_below")).cast("bigint")).drop("_below")
 
 
-def attach_negatives(draws: DataFrame, data: TrainingData, seed: int) -> DataFrame:
-    """Add ``neg_idx``, uniform over the items the draw's user has not seen."""
+def attach_negatives(draws: DataFrame, data: TrainingData, seed: int,
+                     workdir: str | None = None) -> DataFrame:
+    """Add ``neg_idx``, uniform over the items the draw's user has not seen.
+
+    ``workdir``: folder for the intermediate table (default: a new scratch path).
+    """
     n = data.num_items
     cand = (uniform_below(F.lit(n), *_draw_keys(seed, "cand")) + 1).cast("bigint")
     seen_pairs = data.seen.select("user_idx", F.col("item_idx").alias("_cand"), F.lit(True).alias("_hit"))
     # read three times below (accepted, rejected, their users): written once
-    tried = materialise(
-        draws.withColumn("_cand", cand)
-        .join(seen_pairs, ["user_idx", "_cand"], "left")
-        .withColumn("neg_idx", F.when(F.col("_hit").isNull(), F.col("_cand")))
-        .drop("_cand", "_hit"),
-        "tried-negatives")
+    tried = (draws.withColumn("_cand", cand)
+             .join(seen_pairs, ["user_idx", "_cand"], "left")
+             .withColumn("neg_idx", F.when(F.col("_hit").isNull(), F.col("_cand")))
+             .drop("_cand", "_hit"))
+    if workdir:
+        tried.write.mode("overwrite").parquet(f"{workdir}/tried-negatives")
+        tried = draws.sparkSession.read.parquet(f"{workdir}/tried-negatives")
+    else:
+        tried = materialise(tried, "tried-negatives")
     accepted = tried.where(F.col("neg_idx").isNotNull())
     rejected = (tried.where(F.col("neg_idx").isNull()).drop("neg_idx")
                 .withColumn("r", uniform_below(F.lit(n) - F.col("n_items"), *_draw_keys(seed, "neg"))))
@@ -126,7 +133,7 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int) -> DataFra
 
 def sample_pairs(data: TrainingData, iteration: int, seed: int, mode: str = "uniform_user",
                  samples_per_user: int = 100, per_positive: DataFrame | None = None,
-                 negatives: int = 1) -> DataFrame:
+                 negatives: int = 1, workdir: str | None = None) -> DataFrame:
     """samples(iteration, shard, draw_no, user_idx, pos_idx, neg_idx) for one iteration."""
     if mode == "uniform_user":
         draws = uniform_user_draws(data, iteration, seed, samples_per_user)
@@ -135,7 +142,7 @@ def sample_pairs(data: TrainingData, iteration: int, seed: int, mode: str = "uni
         draws = per_positive_draws(plan, iteration)
     else:
         raise ValueError(f"unknown sampling mode {mode!r}")
-    return attach_negatives(draws, data, seed).select(*SAMPLE_COLUMNS)
+    return attach_negatives(draws, data, seed, workdir).select(*SAMPLE_COLUMNS)
 
 
 def negatives_audit(samples: DataFrame, data: TrainingData) -> DataFrame:

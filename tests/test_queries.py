@@ -21,7 +21,8 @@ def con():
 
 def _rows(df):
     df = df[sorted(df.columns)]
-    return sorted(tuple(None if v != v else v for v in r) for r in df.itertuples(index=False))
+    rows = [tuple(None if v is None or v != v else v for v in r) for r in df.itertuples(index=False)]
+    return sorted(rows, key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
