@@ -21,6 +21,8 @@ random choice hashes (seed, purpose, iteration, shard, draw_no).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,20 +58,59 @@ def uniform_user_draws(data: TrainingData, iteration: int, seed: int,
             .select("iteration", "shard", "draw_no", "user_idx", "n_items", "pos_idx"))
 
 
-def per_positive_plan(data: TrainingData, negatives: int = 1) -> DataFrame:
+# Rows (copies x negatives) of one user that one shard takes in the
+# per-positive mode; a user with more is split into chunks of this many rows,
+# placed on consecutive shards, and its vector is averaged over them.
+MAX_USER_ROWS_PER_SHARD = 1_000_000
+
+
+@dataclass
+class PerPositivePlan:
+    draws: DataFrame          # shard, draw_no, user_idx, n_items, pos_idx
+    shared_users: DataFrame   # user_idx, shard, share: users whose rows span `share` shards
+
+
+def per_positive_plan(data: TrainingData, negatives: int = 1,
+                      max_user_rows: int = MAX_USER_ROWS_PER_SHARD) -> PerPositivePlan:
     """Static part of the per-positive mode: every (row copy, negative) of an
-    eligible user numbered densely within its shard.  Materialised once."""
+    eligible user numbered densely within its shard.  Materialised once.
+
+    A user's rows stay in its own shard ``user_idx mod P`` unless there are
+    more than ``max_user_rows`` of them; then chunk c of the user's ordered rows
+    goes to shard ``(user_idx + c) mod P``, so no task holds an unbounded user.
+    """
+    p = data.num_shards
     rows = (data.seen.where(F.col("n_items") < F.lit(data.num_items))
             .select("shard", "user_idx", "n_items", F.col("item_idx").alias("pos_idx"),
                     F.explode(F.sequence(F.lit(0), F.col("copies") * F.lit(negatives) - 1)).alias("_c")))
+    # at most (all rows / max_user_rows) users qualify: a table of bounded size
+    heavy = materialise(
+        data.users.where(F.col("eligible") & (F.col("n_rows") * F.lit(negatives) > F.lit(max_user_rows)))
+        .select("user_idx", F.ceil(F.col("n_rows") * F.lit(negatives) / F.lit(max_user_rows))
+                .cast("bigint").alias("_chunks")),
+        "heavy-users")
+    if heavy.limit(1).count():
+        light = rows.join(F.broadcast(heavy), "user_idx", "left_anti")
+        split = rank_within(rows.join(F.broadcast(heavy.select("user_idx")), "user_idx", "left_semi"),
+                            ["user_idx"], ["pos_idx", "_c"], "_urow")
+        split = split.withColumn("shard", F.pmod(F.col("user_idx") + F.floor(F.col("_urow") / F.lit(max_user_rows)),
+                                                 F.lit(p)).cast("int")).drop("_urow")
+        rows = light.unionByName(split.select(*light.columns))
     ranked = rank_within(rows, ["shard"], ["user_idx", "pos_idx", "_c"], "draw_no")
-    return materialise(ranked.select("shard", "draw_no", "user_idx", "n_items", "pos_idx"),
-                       "per-positive")
+    draws = materialise(ranked.select("shard", "draw_no", "user_idx", "n_items", "pos_idx"), "per-positive")
+    shards_of = (heavy.select("user_idx", F.explode(F.sequence(F.lit(0), F.least(F.col("_chunks"), F.lit(p)) - 1))
+                              .alias("_k"))
+                 .select("user_idx", F.pmod(F.col("user_idx") + F.col("_k"), F.lit(p)).cast("int").alias("shard")))
+    shared = materialise(
+        shards_of.join(shards_of.groupBy("user_idx").agg(F.count(F.lit(1)).cast("int").alias("share")),
+                       "user_idx").where(F.col("share") > 1),
+        "shared-users")
+    return PerPositivePlan(draws=draws, shared_users=shared)
 
 
-def per_positive_draws(plan: DataFrame, iteration: int) -> DataFrame:
-    return plan.select(F.lit(iteration).alias("iteration"), "shard", "draw_no", "user_idx",
-                       "n_items", "pos_idx")
+def per_positive_draws(plan: PerPositivePlan, iteration: int) -> DataFrame:
+    return plan.draws.select(F.lit(iteration).alias("iteration"), "shard", "draw_no", "user_idx",
+                             "n_items", "pos_idx")
 
 
 def _levels(num_items: int) -> int:
@@ -132,7 +173,7 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int,
 
 
 def sample_pairs(data: TrainingData, iteration: int, seed: int, mode: str = "uniform_user",
-                 samples_per_user: int = 100, per_positive: DataFrame | None = None,
+                 samples_per_user: int = 100, per_positive: PerPositivePlan | None = None,
                  negatives: int = 1, workdir: str | None = None) -> DataFrame:
     """samples(iteration, shard, draw_no, user_idx, pos_idx, neg_idx) for one iteration."""
     if mode == "uniform_user":

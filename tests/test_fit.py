@@ -104,3 +104,62 @@ def test_learning_beats_chance(spark):
     auc = pairwise_auc(model, test, seed=1).collect()[0]
     assert auc.n_pairs > 30
     assert auc.auc > 0.7
+
+
+def _dense_fit_split(data, cfg, plan):
+    """Dense per-shard copies; users spread over shards merge by their deltas."""
+    U = _dense(init_factors(data.users, "user_idx", cfg.k, cfg.seed, "user"), "user_idx", data.num_users)
+    V = _dense(init_factors(data.item_index, "item_idx", cfg.k, cfg.seed, "item"), "item_idx", data.num_items)
+    owner = data.users.toPandas().set_index("user_idx")["shard"]
+    share = plan.shared_users.toPandas().groupby("user_idx")["share"].max().to_dict()
+    for it in range(1, cfg.iterations + 1):
+        s = sample_pairs(data, it, cfg.seed, mode="per_positive", per_positive=plan).toPandas()
+        copies = []
+        for p in range(cfg.num_shards):
+            Up, Vp = U.copy(), V.copy()
+            sp = s[s.shard == p].sort_values("draw_no")
+            sgd_loop(Up, Vp, sp.user_idx.tolist(), sp.pos_idx.tolist(), sp.neg_idx.tolist(), cfg.alpha, cfg.lam)
+            copies.append((Up, Vp))
+        V = sum(c[1] for c in copies) / cfg.num_shards
+        newU = U.copy()
+        for uidx, p in owner.items():
+            if cfg.strategy == "full_average":
+                newU[uidx] = sum(c[0][uidx] for c in copies) / cfg.num_shards
+            elif uidx in share:
+                newU[uidx] = U[uidx] + sum(c[0][uidx] - U[uidx] for c in copies) / share[uidx]
+            else:
+                newU[uidx] = copies[p][0][uidx]
+        U = newU
+    return U, V
+
+
+@pytest.mark.parametrize("strategy", ["user_sharded", "full_average"])
+def test_hot_user_is_split_across_shards(spark, strategy):
+    from pairrank.operators.sampling import per_positive_plan
+    # user 0 holds 240 of 300 rows; with 50 rows per shard it spans 4 shards
+    rows = [(0, i) for i in range(240)] + [(u, 230 + (u * 7 + j) % 30) for u in range(1, 31) for j in range(2)]
+    inter = spark.createDataFrame(pd.DataFrame(rows, columns=["user_id", "item_id"]))
+    data = prepare(inter, num_shards=4)
+    cfg = BPRConfig(k=3, iterations=2, num_shards=4, seed=5, strategy=strategy, sampling="per_positive",
+                    max_user_rows=50)
+    plan = per_positive_plan(data, 1, 50)
+    d = plan.draws.toPandas()
+    hot = d[d.user_idx == 1]
+    assert len(hot) == 240
+    assert hot.groupby("shard").size().max() <= 100  # chunks of 50; 5 chunks over 4 shards
+    assert set(hot.shard) == {0, 1, 2, 3}
+    assert len(d) == len(rows)
+    model = fit(None, cfg, data=data)
+    U, V = _dense_fit_split(data, cfg, plan)
+    gotU = _dense(model.user_factors, "user_idx", data.num_users)
+    gotV = _dense(model.item_factors, "item_idx", data.num_items)
+    assert model.user_factors.count() == data.num_users
+    assert np.abs(gotU - U).max() < 1e-9
+    assert np.abs(gotV - V).max() < 1e-9
+
+
+def test_fit_is_deterministic(spark, small_data):
+    cfg = BPRConfig(k=3, iterations=1, num_shards=3, samples_per_user=5, seed=8)
+    a = _dense(fit(None, cfg, data=small_data).user_factors, "user_idx", small_data.num_users)
+    b = _dense(fit(None, cfg, data=small_data).user_factors, "user_idx", small_data.num_users)
+    assert np.array_equal(a, b)
