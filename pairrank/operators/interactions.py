@@ -48,8 +48,11 @@ def ranked_pairs(interactions: DataFrame, num_parts: int | None = None) -> DataF
     keyed on the pair; the indexes and ranks come from range-partitioned
     passes (see ``ranking``), so a hot user or item is split across tasks.
     """
-    pairs = (interactions.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
-             .groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("copies")))
+    # written once: the range partitioning below samples its input before reading it
+    pairs = materialise(
+        interactions.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+        .groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("copies")),
+        "pairs")
     with_items = rank_within(pairs, ["item_id"], [], None, index_col="item_idx", num_parts=num_parts)
     return rank_within(with_items, ["user_id"], ["item_id"], "item_rank", index_col="user_idx",
                        count_col="n_items", num_parts=num_parts)

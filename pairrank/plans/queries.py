@@ -22,8 +22,8 @@ from ..operators.merge import merge_factors, sum_deltas
 from ..operators.sampling import negatives_audit, sample_pairs
 from ..operators.score import score_pairs
 from ..session import scratch_path, ship_package
-from ..sources.behaviour import (DATETIME_24H, distinct_behaviour, normalise_behaviour,
-                                 raw_behaviour_from_events, render_behaviour)
+from ..sources.behaviour import (DATETIME_24H, behaviour_from_events, distinct_behaviour,
+                                 normalise_behaviour, raw_behaviour_from_events, render_behaviour)
 from ..sources.factors_io import read_factors, write_factors
 from ..sources.ratings import read_ratings, write_ratings
 from ..sources.tables import interactions_from_events, interactions_from_orders, load
@@ -84,6 +84,15 @@ def stats_orders(spark, sf_dir):
     return interaction_stats(interactions_from_orders(spark, sf_dir))
 
 
+def stats_events(spark, sf_dir):
+    return interaction_stats(interactions_from_events(spark, sf_dir))
+
+
+def behaviour_events(spark, sf_dir):
+    typed = behaviour_from_events(load(spark, sf_dir, "events"))
+    return typed.withColumn("bhv_datetime", F.date_format("bhv_datetime", DATETIME_24H))
+
+
 def user_index(spark, sf_dir):
     return training_data(spark, sf_dir).user_index
 
@@ -194,10 +203,10 @@ def score_pairs_init(spark, sf_dir):
     return scored.select("user_id", "item_id", _r("score").alias("score"))
 
 
-def _fit_scores(spark, sf_dir, strategy):
+def _fit_scores(spark, sf_dir, strategy, sampling="uniform_user"):
     data = training_data(spark, sf_dir)
     model = fit(None, BPRConfig(k=K, iterations=FIT_ITERATIONS, num_shards=P, samples_per_user=SPU,
-                                seed=SEED, strategy=strategy), data=data)
+                                seed=SEED, strategy=strategy, sampling=sampling), data=data)
     pairs = interactions_from_orders(spark, sf_dir).distinct()
     return model.score(pairs).select("user_id", "item_id", _r("score").alias("score"))
 
@@ -210,6 +219,10 @@ def fit_full_average(spark, sf_dir):
     return _fit_scores(spark, sf_dir, "full_average")
 
 
+def fit_per_positive(spark, sf_dir):
+    return _fit_scores(spark, sf_dir, "user_sharded", sampling="per_positive")
+
+
 def _trace_model(spark, sf_dir):
     data = training_data(spark, sf_dir, num_shards=2)
     return trace_fit(None, data=data)
@@ -258,6 +271,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interactions_orders": interactions_orders,
     "interactions_events": interactions_events,
     "interaction_stats": stats_orders,
+    "interaction_stats_events": stats_events,
+    "behaviour_events": behaviour_events,
     "user_index": user_index,
     "item_index": item_index,
     "user_items": user_items,
@@ -278,6 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_pairs_init": score_pairs_init,
     "fit_user_sharded": fit_user_sharded,
     "fit_full_average": fit_full_average,
+    "fit_per_positive": fit_per_positive,
     "trace_fit": trace_fit_q,
     "factor_snapshots": factor_snapshots,
     "read_ratings_roundtrip": read_ratings_roundtrip,
@@ -351,9 +367,22 @@ def oracle_sql() -> dict[str, str]:
               ("bhvAmt", "bhv_amt"), ("bhvCnt", "bhv_cnt"), ("content", "content"),
               ("bhvDatetime", "bhv_datetime")]
     rendered = " || ', ' || ".join(q(a).format(b) for a, b in fields)
+    def stats(src: str) -> str:
+        return (f"WITH inter AS ({src}) SELECT CAST(count(*) AS BIGINT) AS n_rows, "
+                "(SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT user_id, item_id FROM inter)) AS n_pairs, "
+                "CAST(count(DISTINCT user_id) AS BIGINT) AS n_users, "
+                "CAST(count(DISTINCT item_id) AS BIGINT) AS n_items, "
+                "min(user_id) AS min_user_id, max(user_id) AS max_user_id, "
+                "min(item_id) AS min_item_id, max(item_id) AS max_item_id FROM inter")
+
     return {
         "interactions_orders": orders,
         "interactions_events": events,
+        "interaction_stats_events": stats(events),
+        "behaviour_events": (
+            "SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS item_id, "
+            "event_type AS bhv_type, value AS bhv_amt, CAST(1 AS BIGINT) AS bhv_cnt, "
+            "CAST(NULL AS VARCHAR) AS content, strftime(ts, '%Y-%m-%d %H:%M:%S') AS bhv_datetime FROM events"),
         "interaction_stats": (
             f"WITH inter AS ({orders}) SELECT CAST(count(*) AS BIGINT) AS n_rows, "
             "(SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT user_id, item_id FROM inter)) AS n_pairs, "

@@ -69,17 +69,35 @@ def raw_behaviour_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def to_behaviour(df: DataFrame, mapping: dict) -> DataFrame:
+    """Typed behaviour rows from any table: ``mapping`` gives a SQL expression
+    (or Column) per behaviour field; unmapped fields are NULL, except the
+    count, which defaults to 1 (so a user/item/score mapping is the 3-field
+    form)."""
+    cols = []
+    for field in BEHAVIOUR.fields:
+        src = mapping.get(field.name)
+        if src is None:
+            c = F.lit(DEFAULT_COUNT) if field.name == "bhv_cnt" else F.lit(None)
+        else:
+            c = F.expr(src) if isinstance(src, str) else src
+        cols.append(c.cast(field.dataType).alias(field.name))
+    return df.select(*cols)
+
+
+# Fixed mapping of the events table onto behaviour fields.
+EVENTS_MAPPING = {
+    "user_id": "user_id",
+    "item_id": "get_json_object(props, '$.k')",
+    "bhv_type": "event_type",
+    "bhv_amt": "value",
+    "bhv_datetime": "ts",
+}
+
+
 def behaviour_from_events(events: DataFrame) -> DataFrame:
     """Typed behaviour rows straight from events (no text round trip)."""
-    return events.select(
-        F.col("user_id").cast("string").alias("user_id"),
-        F.get_json_object("props", "$.k").alias("item_id"),
-        F.col("event_type").alias("bhv_type"),
-        F.col("value").cast("double").alias("bhv_amt"),
-        F.lit(DEFAULT_COUNT).cast("bigint").alias("bhv_cnt"),
-        F.lit(None).cast("string").alias("content"),
-        F.col("ts").cast("timestamp").alias("bhv_datetime"),
-    )
+    return to_behaviour(events, EVENTS_MAPPING)
 
 
 def distinct_behaviour(df: DataFrame) -> DataFrame:

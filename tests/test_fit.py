@@ -163,3 +163,14 @@ def test_fit_is_deterministic(spark, small_data):
     a = _dense(fit(None, cfg, data=small_data).user_factors, "user_idx", small_data.num_users)
     b = _dense(fit(None, cfg, data=small_data).user_factors, "user_idx", small_data.num_users)
     assert np.array_equal(a, b)
+
+
+def test_unknown_ids_score_null(spark, small_data):
+    model = fit(None, BPRConfig(k=3, iterations=1, num_shards=3, samples_per_user=2, seed=1), data=small_data)
+    known_user = small_data.users.first().user_id
+    known_item = small_data.item_index.first().item_id
+    pairs = spark.createDataFrame([(known_user, known_item), (-99, known_item), (known_user, -5)],
+                                  "user_id bigint, item_id bigint")
+    got = {(r.user_id, r.item_id): r.score for r in model.score(pairs).collect()}
+    assert got[(known_user, known_item)] is not None
+    assert got[(-99, known_item)] is None and got[(known_user, -5)] is None
