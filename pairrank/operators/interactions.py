@@ -53,7 +53,9 @@ def ranked_pairs(interactions: DataFrame, num_parts: int | None = None) -> DataF
         interactions.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
         .groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("copies")),
         "pairs")
-    with_items = rank_within(pairs, ["item_id"], [], None, index_col="item_idx", num_parts=num_parts)
+    # ordering by user within the item keeps the range key unique, so a hot item is split too
+    with_items = rank_within(pairs, ["item_id"], ["user_id"], None, index_col="item_idx",
+                             num_parts=num_parts)
     return rank_within(with_items, ["user_id"], ["item_id"], "item_rank", index_col="user_idx",
                        count_col="n_items", num_parts=num_parts)
 

@@ -48,6 +48,8 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
     all groups in ascending order, and/or ``count_col``, the group's row count.
 
     With no group columns, ``rank_col`` is the position in the whole table.
+    Group + order columns should be unique: the range partitioner can only
+    split a hot group across tasks by its order columns.
     """
     keys = [*group_cols, *order_cols]
     n = _num_parts(df, num_parts)

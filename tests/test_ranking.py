@@ -32,3 +32,16 @@ def test_global_rank(spark):
     df = spark.range(0, 5000).selectExpr("id * 7 % 5003 AS v")
     got = rank_within(df, [], ["v"], "r", num_parts=8).toPandas().sort_values("v")
     assert got["r"].tolist() == list(range(5000))
+
+
+def test_hot_group_spans_range_partitions(spark):
+    # a group with a third of the rows must not land in a single range partition
+    from pyspark.sql import functions as F
+
+    from pairrank.operators.ranking import _tagged
+    rows = [(7, x) for x in range(3000)] + [(g, x) for g in range(1000) if g != 7 for x in range(6)]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["g", "x"]))
+    tagged = _tagged(df, ["g", "x"], 8, "hot")
+    parts = tagged.where("g = 7").select("_part").distinct().count()
+    assert parts >= 2
+    assert tagged.groupBy("_part").count().agg(F.max("count")).first()[0] < 3000
