@@ -65,17 +65,37 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
     if index_col:
         if not group_cols:
             raise ValueError("index_col needs group columns")
-        groups = rank_within(summary.select(*group_cols).distinct(), [], group_cols, "_grank",
-                             num_parts=n)
-        summary = summary.join(groups, group_cols).withColumn(index_col, (F.col("_grank") + 1).cast("bigint"))
+        summary = _with_group_index(summary, group_cols, index_col)
     if not group_cols:
         # one row per range partition: its size is bounded by n
         summary = F.broadcast(summary)
     out = tagged.join(summary, ["_part", *group_cols])
     if rank_col:
         out = out.withColumn(rank_col, (F.col("_mid") - F.col("_first") + F.col("_before")).cast("bigint"))
-    internal = ["_mid", "_part", "_first", "_n", "_before"] + (["_grank"] if index_col else [])
-    return out.drop(*internal)
+    return out.drop("_mid", "_part", "_first", "_n", "_before")
+
+
+def _with_group_index(summary: DataFrame, group_cols: list[str], index_col: str) -> DataFrame:
+    """Dense 1-based index of each group value, from the (partition, group) summary.
+
+    Range partitions hold ascending, contiguous runs of groups, so a group's
+    index is its position within its partition plus the distinct groups of
+    earlier partitions, counting a group that continues from the previous
+    partition once.  The per-partition table has one row per partition.
+    """
+    group = F.struct(*group_cols)
+    local = summary.withColumn(
+        "_l", F.row_number().over(Window.partitionBy("_part").orderBy(*group_cols)))
+    parts = (summary.groupBy("_part")
+             .agg(F.count(F.lit(1)).alias("_cnt"), F.min(group).alias("_fg"), F.max(group).alias("_lg")))
+    by_part = Window.partitionBy(F.lit(0)).orderBy("_part")
+    parts = parts.withColumn("_dup", F.lag("_lg").over(by_part).eqNullSafe(F.col("_fg")).cast("bigint"))
+    earlier = F.sum(F.col("_cnt") - F.col("_dup")).over(by_part.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = parts.select("_part", (F.coalesce(earlier, F.lit(0)) - F.col("_dup")).alias("_off"))
+    # one row per range partition: bounded by the partition count
+    return (local.join(F.broadcast(offsets), "_part")
+            .withColumn(index_col, (F.col("_off") + F.col("_l")).cast("bigint"))
+            .drop("_l", "_off"))
 
 
 def dense_index(ids: DataFrame, id_col: str, idx_col: str, num_parts: int | None = None) -> DataFrame:
