@@ -129,7 +129,8 @@ def unrank_unseen(draws: DataFrame, seen: DataFrame, num_items: int, r_col: str
     place and no draw fans out to more than log2(N) rows.
     """
     levels = _levels(num_items)
-    users = draws.select("user_idx").distinct()
+    # a semi-join needs no distinct build side; the planner picks broadcast by size
+    users = draws.select("user_idx")
     gaps = (seen.join(users, "user_idx", "left_semi")
             .select("user_idx", (F.col("item_idx") - 1 - F.col("item_rank")).alias("_gap")))
     block_counts = (gaps.select("user_idx", "_gap",
