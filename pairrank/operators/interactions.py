@@ -105,3 +105,19 @@ def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = No
         "shard-stats")
     return TrainingData(seen=seen, users=users, shard_stats=shard_stats, item_index=item_index,
                         num_users=num_users, num_items=num_items, num_shards=num_shards)
+
+
+def user_items(data: TrainingData) -> DataFrame:
+    """(user_idx, shard, item_rank, item_idx, copies): each user's distinct items in
+    index order, with the number of input rows per pair (the grouped form)."""
+    return data.seen.select("user_idx", "shard", "item_rank", "item_idx", "copies")
+
+
+def shard_users(data: TrainingData) -> DataFrame:
+    """(shard, user_idx, urank, n_items, eligible, erank)."""
+    return data.users.select("shard", "user_idx", "urank", "n_items", "eligible", "erank")
+
+
+def eligible_users(data: TrainingData) -> DataFrame:
+    """Users who can be trained: at least one seen and one unseen item."""
+    return data.eligible.select("shard", "user_idx", "erank", "n_items")

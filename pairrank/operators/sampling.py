@@ -193,3 +193,10 @@ def negatives_audit(samples: DataFrame, data: TrainingData) -> DataFrame:
     flagged = samples.join(seen_pairs, ["user_idx", "neg_idx"], "left")
     return flagged.agg(F.count(F.lit(1)).alias("n_samples"),
                        F.coalesce(F.sum("_hit"), F.lit(0)).cast("bigint").alias("n_seen_negatives"))
+
+
+def unseen_items(samples: DataFrame, data: TrainingData) -> DataFrame:
+    """Samples whose negative is really unseen by the user (a left-anti join
+    against the seen pairs); equal to ``samples`` when sampling is correct."""
+    seen_pairs = data.seen.select("user_idx", F.col("item_idx").alias("neg_idx"))
+    return samples.join(seen_pairs, ["user_idx", "neg_idx"], "left_anti")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import dot
 from ..operators.factors import factor_rows, init_factors
 from ..operators.gradient import attach_factors, gradient_deltas, pair_gradients, pair_margins
-from ..operators.interactions import TrainingData, interaction_stats, prepare
+from ..operators.interactions import TrainingData, interaction_stats, prepare, shard_users, user_items
 from ..operators.merge import merge_factors, sum_deltas
 from ..operators.sampling import negatives_audit, sample_pairs
 from ..operators.score import score_pairs
@@ -101,17 +101,16 @@ def item_index(spark, sf_dir):
     return training_data(spark, sf_dir).item_index
 
 
-def user_items(spark, sf_dir):
-    return training_data(spark, sf_dir).seen.select("user_idx", "shard", "item_rank", "item_idx", "copies")
+def user_items_q(spark, sf_dir):
+    return user_items(training_data(spark, sf_dir))
 
 
 def user_item_counts(spark, sf_dir):
     return training_data(spark, sf_dir).users.select("user_idx", "shard", "n_items", "n_rows")
 
 
-def shard_users(spark, sf_dir):
-    return training_data(spark, sf_dir).users.select("shard", "user_idx", "urank", "n_items",
-                                                     "eligible", "erank")
+def shard_users_q(spark, sf_dir):
+    return shard_users(training_data(spark, sf_dir))
 
 
 def eligible_users(spark, sf_dir):
@@ -275,9 +274,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "behaviour_events": behaviour_events,
     "user_index": user_index,
     "item_index": item_index,
-    "user_items": user_items,
+    "user_items": user_items_q,
     "user_item_counts": user_item_counts,
-    "shard_users": shard_users,
+    "shard_users": shard_users_q,
     "eligible_users": eligible_users,
     "init_user_factors": init_user_factors,
     "init_item_factors": init_item_factors,

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 
 from pairrank.operators.interactions import prepare
-from pairrank.operators.sampling import negatives_audit, sample_pairs, unrank_unseen
+from pairrank.operators.sampling import negatives_audit, sample_pairs, unrank_unseen, unseen_items
 from pairrank.sources.tables import interactions_from_orders
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -35,6 +35,7 @@ def test_negatives_unseen_and_counts(spark):
     s = sample_pairs(data, 2, 11, samples_per_user=30)
     audit = negatives_audit(s, data).collect()[0]
     assert audit.n_seen_negatives == 0
+    assert unseen_items(s, data).count() == audit.n_samples
     per_shard = s.groupBy("shard").count().toPandas().set_index("shard")["count"]
     users = data.shard_stats.toPandas().set_index("shard")["n_users"]
     for shard, n in per_shard.items():
