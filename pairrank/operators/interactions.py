@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,6 +79,37 @@ class TrainingData:
     def eligible(self) -> DataFrame:
         return self.users.where("eligible")
 
+    def seen_partitioned(self, keys: tuple[str, ...]) -> DataFrame:
+        """``seen`` hash-partitioned on ``keys`` once and kept (memory, then disk).
+
+        Every iteration joins draws to ``seen`` on these keys; with the static
+        side already partitioned only the draws are shuffled.  The keys are
+        unique per row, so a hot user's pairs still spread over partitions.  A
+        lost block is recomputed from the written table.
+        """
+        cache = self.__dict__.setdefault("_partitioned", {})
+        if keys not in cache:
+            n = int(self.seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            cols = ["user_idx", "item_rank", "item_idx"]
+            cache[keys] = (self.seen.select(*cols).repartition(n, *keys)
+                           .persist(StorageLevel.MEMORY_AND_DISK))
+        return cache[keys]
+
+    def eligible_partitioned(self) -> DataFrame:
+        """Eligible users hash-partitioned on (shard, erank), the draw lookup key, and kept."""
+        cache = self.__dict__.setdefault("_partitioned", {})
+        if "eligible" not in cache:
+            n = int(self.seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            cache["eligible"] = (self.eligible.select("shard", "erank", "user_idx", "n_items")
+                                 .repartition(n, "shard", "erank")
+                                 .persist(StorageLevel.MEMORY_AND_DISK))
+        return cache["eligible"]
+
+    def release(self) -> None:
+        """Unpersist the partitioned copies."""
+        for df in self.__dict__.pop("_partitioned", {}).values():
+            df.unpersist()
+
 
 def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = None) -> TrainingData:
     """Build and materialise the static training tables."""

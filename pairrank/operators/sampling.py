@@ -50,10 +50,11 @@ def uniform_user_draws(data: TrainingData, iteration: int, seed: int,
     draws = (per_shard_draws.join(stats, "shard")
              .withColumn("iteration", F.lit(iteration))
              .withColumn("erank", uniform_below("n_eligible", *_draw_keys(seed, "user"))))
-    eligible = data.eligible.select("shard", "erank", "user_idx", "n_items")
+    eligible = data.eligible_partitioned()
     draws = (draws.join(eligible, ["shard", "erank"])
              .withColumn("item_rank", uniform_below("n_items", *_draw_keys(seed, "pos"))))
-    positives = data.seen.select("user_idx", "item_rank", F.col("item_idx").alias("pos_idx"))
+    positives = data.seen_partitioned(("user_idx", "item_rank")).select(
+        "user_idx", "item_rank", F.col("item_idx").alias("pos_idx"))
     return (draws.join(positives, ["user_idx", "item_rank"])
             .select("iteration", "shard", "draw_no", "user_idx", "n_items", "pos_idx"))
 
@@ -155,7 +156,8 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int,
     """
     n = data.num_items
     cand = (uniform_below(F.lit(n), *_draw_keys(seed, "cand")) + 1).cast("bigint")
-    seen_pairs = data.seen.select("user_idx", F.col("item_idx").alias("_cand"), F.lit(True).alias("_hit"))
+    seen_pairs = data.seen_partitioned(("user_idx", "item_idx")).select(
+        "user_idx", F.col("item_idx").alias("_cand"), F.lit(True).alias("_hit"))
     # read three times below (accepted, rejected, their users): written once
     tried = (draws.withColumn("_cand", cand)
              .join(seen_pairs, ["user_idx", "_cand"], "left")
