@@ -26,6 +26,24 @@ from ..session import materialise
 from .ranking import rank_within
 
 
+def _broadcast_threshold(spark) -> int:
+    """spark.sql.autoBroadcastJoinThreshold in bytes (-1: never broadcast)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    utils = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
+    return int(utils.byteStringAsBytes(raw)) if not raw.strip().startswith("-") else -1
+
+
+def _file_bytes(df: DataFrame) -> int:
+    """Total size of the files a file-backed DataFrame reads (metadata only)."""
+    sc = df.sparkSession.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for name in df.inputFiles():
+        path = sc._jvm.org.apache.hadoop.fs.Path(name)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    return total
+
+
 def assign_shards(df: DataFrame, num_shards: int, idx_col: str = "user_idx") -> DataFrame:
     """Hash-partition key: ``pmod(user_idx, P)``, the integer-key hash partitioner's mapping."""
     return df.withColumn("shard", F.pmod(F.col(idx_col), F.lit(num_shards)).cast("int"))
@@ -79,31 +97,34 @@ class TrainingData:
     def eligible(self) -> DataFrame:
         return self.users.where("eligible")
 
-    def seen_partitioned(self, keys: tuple[str, ...]) -> DataFrame:
-        """``seen`` hash-partitioned on ``keys`` once and kept (memory, then disk).
+    def _lookup(self, name: str, df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        """A static table every iteration joins on ``keys``.
 
-        Every iteration joins draws to ``seen`` on these keys; with the static
-        side already partitioned only the draws are shuffled.  The keys are
-        unique per row, so a hot user's pairs still spread over partitions.  A
-        lost block is recomputed from the written table.
+        If its files are below the session's broadcast threshold (the size the
+        planner itself compares) it is returned as is and the planner
+        broadcasts it.  Above, it is hash-partitioned on ``keys`` once
+        and kept (memory, then disk), so iterations shuffle only the draws.
+        The keys are unique per row, so a hot user's rows still spread over
+        partitions; a lost block is recomputed from the written table.
         """
+        spark = df.sparkSession
+        if _file_bytes(df) <= _broadcast_threshold(spark):
+            return df
         cache = self.__dict__.setdefault("_partitioned", {})
-        if keys not in cache:
-            n = int(self.seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            cols = ["user_idx", "item_rank", "item_idx"]
-            cache[keys] = (self.seen.select(*cols).repartition(n, *keys)
-                           .persist(StorageLevel.MEMORY_AND_DISK))
-        return cache[keys]
+        if name not in cache:
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            cache[name] = df.repartition(n, *keys).persist(StorageLevel.MEMORY_AND_DISK)
+        return cache[name]
+
+    def seen_partitioned(self, keys: tuple[str, ...]) -> DataFrame:
+        """(user_idx, item_rank, item_idx) for joins on ``keys``."""
+        return self._lookup("seen:" + ",".join(keys), self.seen.select("user_idx", "item_rank", "item_idx"),
+                            keys)
 
     def eligible_partitioned(self) -> DataFrame:
-        """Eligible users hash-partitioned on (shard, erank), the draw lookup key, and kept."""
-        cache = self.__dict__.setdefault("_partitioned", {})
-        if "eligible" not in cache:
-            n = int(self.seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            cache["eligible"] = (self.eligible.select("shard", "erank", "user_idx", "n_items")
-                                 .repartition(n, "shard", "erank")
-                                 .persist(StorageLevel.MEMORY_AND_DISK))
-        return cache["eligible"]
+        """Eligible users for the draw lookup on (shard, erank)."""
+        return self._lookup("eligible", self.eligible.select("shard", "erank", "user_idx", "n_items"),
+                            ("shard", "erank"))
 
     def release(self) -> None:
         """Unpersist the partitioned copies."""

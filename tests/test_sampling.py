@@ -79,3 +79,19 @@ def test_negatives_roughly_uniform(spark):
     negs = s[s.user_idx == 1]["neg_idx"].value_counts()
     assert set(negs.index) == set(range(3, 11))
     assert np.abs(negs.values / negs.values.sum() - 1 / 8).max() < 0.03
+
+
+def test_partitioned_lookups_give_same_draws(spark):
+    inter = interactions_from_orders(spark, SF_SMALL)
+    a = sample_pairs(prepare(inter, num_shards=3), 1, 5, samples_per_user=10).toPandas()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        data = prepare(inter, num_shards=3)
+        assert data.seen_partitioned(("user_idx", "item_rank")).storageLevel.useMemory
+        b = sample_pairs(data, 1, 5, samples_per_user=10).toPandas()
+        data.release()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    key = ["shard", "draw_no"]
+    assert a.sort_values(key).reset_index(drop=True).equals(b.sort_values(key).reset_index(drop=True))
