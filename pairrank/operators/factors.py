@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..functions.hashing import gaussian
 
 
-def init_factors(index: DataFrame, idx_col: str, k: int, seed: int, kind: str) -> DataFrame:
-    """(idx_col, factors): k standard-normal values per row, from (seed, kind, idx, dim)."""
+def init_factors(index: DataFrame, idx_col: str, k: int, seed: int, kind: str,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """(idx_col, *keep, factors): k standard-normal values per row, from (seed, kind, idx, dim)."""
     idx = F.col(idx_col)
     vec = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
                       lambda d: gaussian(seed, f"init-{kind}", idx, d))
-    return index.select(idx, vec.alias("factors"))
+    return index.select(idx, *keep, vec.alias("factors"))
 
 
 def factor_rows(factors: DataFrame, idx_col: str, digits: int | None = 6) -> DataFrame:

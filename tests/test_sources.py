@@ -69,3 +69,16 @@ def test_distinct_and_render(spark):
     assert len(out) == 2
     assert out[0].line == ("User_Behavior{userId='u1', itemId='i1', bhvType='null', bhvAmt='1.0', "
                            "bhvCnt='1', content='null', bhvDatetime='null'}")
+
+
+def test_write_factors_text_is_ordered(spark):
+    from pairrank.sources import write_factors
+    df = spark.createDataFrame([(3, [0.5, -1.0]), (1, [2.0, 0.25]), (2, [0.0, 1.5])],
+                               "user_id bigint, factors array<double>")
+    d = tempfile.mkdtemp(prefix="factors-text-")
+    write_factors(df, d + "/f", key="user_id", fmt="text")
+    lines = [r.value for r in spark.read.text(d + "/f").collect()]
+    assert sorted(lines) == ["(1,[2.0,0.25])", "(2,[0.0,1.5])", "(3,[0.5,-1.0])"]
+    files = sorted(f for f in os.listdir(d + "/f") if f.startswith("part-"))
+    ordered = [line for f in files for line in open(os.path.join(d + "/f", f)).read().split()]
+    assert ordered == sorted(ordered, key=lambda s: int(s[1:s.index(",")]))
