@@ -9,7 +9,8 @@ Two modes:
   distinct items.
 * ``per_positive``: every input row (duplicates kept) is a positive of
   eligible users, with ``negatives`` unseen items each; the draw order within a
-  shard is (user, item, copy, negative).
+  shard is (user, item, copy, negative).  A user with more rows than one shard
+  takes is split into chunks on consecutive shards.
 
 In both, the negative is uniform over the items the user has not seen.  The
 first candidate ``1 + h mod N`` is kept when unseen (one equi-join against
@@ -17,6 +18,10 @@ the seen pairs); a rejected draw is resolved exactly by unranking a fresh
 ``r`` in ``[0, N - n_items)`` to the r-th unseen item, so every draw ends and
 the result is exactly uniform.  Draw numbers are dense per shard and every
 random choice hashes (seed, purpose, iteration, shard, draw_no).
+
+All lookups are equi-joins on unique keys: (shard, eligible rank) for the
+user, (user, item rank) for the positive, (user, item) for the candidate and
+(user, level, block) for the unranking, so no user's rows are gathered.
 """
 
 from __future__ import annotations
