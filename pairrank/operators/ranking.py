@@ -25,16 +25,13 @@ from ..session import materialise
 _PART_SHIFT = 33
 
 
-def _num_parts(df: DataFrame, num_parts: int | None) -> int:
-    if num_parts:
-        return num_parts
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _tagged(df: DataFrame, keys: list[str], n: int, name: str) -> DataFrame:
+def _tagged(df: DataFrame, keys: list[str], n: int | None, name: str) -> DataFrame:
+    # Without an explicit count the range exchange uses spark.sql.shuffle.partitions
+    # and AQE may merge small neighbouring ranges; partitions stay contiguous and
+    # ordered, which is all the tags rely on.
+    ranged = df.repartitionByRange(n, *keys) if n else df.repartitionByRange(*keys)
     tagged = materialise(
-        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-          .withColumn("_mid", F.monotonically_increasing_id()),
+        ranged.sortWithinPartitions(*keys).withColumn("_mid", F.monotonically_increasing_id()),
         f"tagged-{name}")
     return tagged.withColumn("_part", F.shiftright("_mid", _PART_SHIFT))
 
@@ -52,8 +49,7 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[str],
     split a hot group across tasks by its order columns.
     """
     keys = [*group_cols, *order_cols]
-    n = _num_parts(df, num_parts)
-    tagged = _tagged(df, keys, n, rank_col or index_col or "rows")
+    tagged = _tagged(df, keys, num_parts, rank_col or index_col or "rows")
     summary = (tagged.groupBy("_part", *group_cols)
                .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     w = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
