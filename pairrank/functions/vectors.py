@@ -10,15 +10,27 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def dot(a: Column | str, b: Column | str) -> Column:
-    """Sum of element-wise products, accumulated left to right."""
-    return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x * y), F.lit(0.0),
+def dot(a: Column | str, b: Column | str, k: int | None = None) -> Column:
+    """Sum of element-wise products, accumulated left to right.
+
+    With the length ``k`` known the sum is written out element by element,
+    which whole-stage codegen compiles; otherwise a higher-order fold over the
+    arrays (same order, same result).  NULL if either array is NULL.
+    """
+    a, b = _c(a), _c(b)
+    if k:
+        total = F.lit(0.0)
+        for d in range(k):
+            total = total + a.getItem(d) * b.getItem(d)
+        return F.when(a.isNotNull() & b.isNotNull(), total)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0),
                        lambda acc, v: acc + v)
 
 
-def pair_margin(user: Column | str, pos: Column | str, neg: Column | str) -> Column:
+def pair_margin(user: Column | str, pos: Column | str, neg: Column | str,
+                k: int | None = None) -> Column:
     """x_uij = <u, i> - <u, j>."""
-    return dot(user, pos) - dot(user, neg)
+    return dot(user, pos, k) - dot(user, neg, k)
 
 
 def sigmoid_weight(x: Column | str) -> Column:

@@ -39,6 +39,6 @@ def pairwise_auc(model, test: DataFrame, seed: int = 0) -> DataFrame:
     nf = model.item_factors.select(F.col("item_idx").alias("neg_idx"), F.col("factors").alias("n"))
     from ..functions.vectors import pair_margin
     scored = (with_neg.join(uf, "user_idx").join(pf, "item_idx").join(nf, "neg_idx")
-              .select(pair_margin("u", "p", "n").alias("x")))
+              .select(pair_margin("u", "p", "n", model.config.k).alias("x")))
     return scored.agg(F.avg(F.when(F.col("x") > 0, 1.0).when(F.col("x") == 0, 0.5).otherwise(0.0)).alias("auc"),
                       F.count(F.lit(1)).alias("n_pairs"))

@@ -151,7 +151,7 @@ def negatives_audit_q(spark, sf_dir):
 def _margins(spark, sf_dir):
     data, samples = _samples(spark, sf_dir)
     users, items = _init(data)
-    return pair_margins(attach_factors(samples, users, items))
+    return pair_margins(attach_factors(samples, users, items), K)
 
 
 def pair_margins_q(spark, sf_dir):
@@ -179,7 +179,7 @@ def merge_fixed_deltas(spark, sf_dir):
     """One synchronous delta set at the initial factors, merged the user-sharded way."""
     data, samples = _samples(spark, sf_dir)
     users, items = _init(data)
-    deltas = gradient_deltas(pair_gradients(pair_margins(attach_factors(samples, users, items)),
+    deltas = gradient_deltas(pair_gradients(pair_margins(attach_factors(samples, users, items), K),
                                             ALPHA, LAMBDA))
     user_sum = sum_deltas(deltas.where("kind = 'user'").withColumnRenamed("idx", "user_idx"), K,
                           idx_col="user_idx")
@@ -198,7 +198,7 @@ def score_pairs_init(spark, sf_dir):
     data = training_data(spark, sf_dir)
     users, items = _init(data)
     pairs = interactions_from_orders(spark, sf_dir).distinct()
-    scored = score_pairs(pairs, data.user_index, data.item_index, users, items)
+    scored = score_pairs(pairs, data.user_index, data.item_index, users, items, k=K)
     return scored.select("user_id", "item_id", _r("score").alias("score"))
 
 
