@@ -12,8 +12,7 @@ def init_factors(index: DataFrame, idx_col: str, k: int, seed: int, kind: str,
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """(idx_col, *keep, factors): k standard-normal values per row, from (seed, kind, idx, dim)."""
     idx = F.col(idx_col)
-    vec = F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                      lambda d: gaussian(seed, f"init-{kind}", idx, d))
+    vec = F.array(*[gaussian(seed, f"init-{kind}", idx, F.lit(d)) for d in range(k)])
     return index.select(idx, *keep, vec.alias("factors"))
 
 

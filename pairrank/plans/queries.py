@@ -185,8 +185,8 @@ def merge_fixed_deltas(spark, sf_dir):
                           idx_col="user_idx")
     item_sum = sum_deltas(deltas.where("kind = 'item'").withColumnRenamed("idx", "item_idx"), K,
                           idx_col="item_idx")
-    new_users = merge_factors(users, user_sum, "user_idx", P, scale=1.0)
-    new_items = merge_factors(items, item_sum, "item_idx", P)
+    new_users = merge_factors(users, user_sum, "user_idx", P, scale=1.0, k=K)
+    new_items = merge_factors(items, item_sum, "item_idx", P, k=K)
     u = factor_rows(new_users, "user_idx", DIGITS).select(F.lit("user").alias("kind"),
                                                            F.col("user_idx").alias("idx"), "dim", "value")
     i = factor_rows(new_items, "item_idx", DIGITS).select(F.lit("item").alias("kind"),
