@@ -92,7 +92,9 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable by Python workers (the ``--py-files`` way).
 
     Zips the package once per application and adds it with ``addPyFile``, which
-    distributes it to every executor, current and future.
+    distributes it to every executor, current and future.  The archive is only
+    a driver-side staging file served by Spark (as ``spark-submit --py-files``
+    does); no executor reads the driver's folder, and no data goes there.
     """
     sc = spark.sparkContext
     app = sc.applicationId
