@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import intermediate_tables, materialise
 from .ranking import rank_within
 
 
@@ -133,29 +133,34 @@ class TrainingData:
 
 
 def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = None) -> TrainingData:
-    """Build and materialise the static training tables."""
-    seen = materialise(
-        assign_shards(ranked_pairs(interactions, num_parts), num_shards)
-        .select("user_id", "user_idx", "item_id", "item_idx", "item_rank", "copies",
-                "n_items", "shard"),
-        "seen")
-    item_index = materialise(seen.select("item_id", "item_idx").distinct(),
-                             "item-index")
-    num_items = item_index.count()
-    per_user = (seen.groupBy("user_idx", "user_id", "shard", "n_items")
-                .agg(F.sum("copies").cast("bigint").alias("n_rows"))
-                .withColumn("urank", F.floor((F.col("user_idx") - 1) / F.lit(num_shards)).cast("bigint"))
-                .withColumn("eligible", (F.col("n_items") > 0) & (F.col("n_items") < F.lit(num_items))))
-    eligible = rank_within(per_user.where("eligible"), ["shard"], ["user_idx"], "erank",
-                           num_parts=num_parts)
-    users = materialise(
-        eligible.unionByName(per_user.where("NOT eligible").withColumn("erank", F.lit(None).cast("bigint"))),
-        "users")
-    num_users = users.count()
-    shard_stats = materialise(
-        users.groupBy("shard").agg(F.count(F.lit(1)).alias("n_users"),
-                                   F.sum(F.col("eligible").cast("bigint")).alias("n_eligible")),
-        "shard-stats")
+    """Build and materialise the static training tables.
+
+    Intermediate tables (pairs, tagged rows) are deleted once the results exist.
+    """
+    spark = interactions.sparkSession
+    with intermediate_tables(spark) as keep:
+        seen = materialise(
+            assign_shards(ranked_pairs(interactions, num_parts), num_shards)
+            .select("user_id", "user_idx", "item_id", "item_idx", "item_rank", "copies",
+                    "n_items", "shard"),
+            "seen")
+        item_index = materialise(seen.select("item_id", "item_idx").distinct(), "item-index")
+        num_items = item_index.count()
+        per_user = (seen.groupBy("user_idx", "user_id", "shard", "n_items")
+                    .agg(F.sum("copies").cast("bigint").alias("n_rows"))
+                    .withColumn("urank", F.floor((F.col("user_idx") - 1) / F.lit(num_shards)).cast("bigint"))
+                    .withColumn("eligible", (F.col("n_items") > 0) & (F.col("n_items") < F.lit(num_items))))
+        eligible = rank_within(per_user.where("eligible"), ["shard"], ["user_idx"], "erank",
+                               num_parts=num_parts)
+        users = materialise(
+            eligible.unionByName(per_user.where("NOT eligible").withColumn("erank", F.lit(None).cast("bigint"))),
+            "users")
+        num_users = users.count()
+        shard_stats = materialise(
+            users.groupBy("shard").agg(F.count(F.lit(1)).alias("n_users"),
+                                       F.sum(F.col("eligible").cast("bigint")).alias("n_eligible")),
+            "shard-stats")
+        keep.extend([seen, item_index, users, shard_stats])
     return TrainingData(seen=seen, users=users, shard_stats=shard_stats, item_index=item_index,
                         num_users=num_users, num_items=num_items, num_shards=num_shards)
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_below
-from ..session import materialise
+from ..session import intermediate_tables, materialise
 from .interactions import TrainingData
 from .ranking import rank_within
 
@@ -85,6 +85,13 @@ def per_positive_plan(data: TrainingData, negatives: int = 1,
     more than ``max_user_rows`` of them; then chunk c of the user's ordered rows
     goes to shard ``(user_idx + c) mod P``, so no task holds an unbounded user.
     """
+    with intermediate_tables(data.seen.sparkSession) as keep:
+        plan = _per_positive_plan(data, negatives, max_user_rows)
+        keep.extend([plan.draws, plan.shared_users])
+    return plan
+
+
+def _per_positive_plan(data: TrainingData, negatives: int, max_user_rows: int) -> PerPositivePlan:
     p = data.num_shards
     rows = (data.seen.where(F.col("n_items") < F.lit(data.num_items))
             .select("shard", "user_idx", "n_items", F.col("item_idx").alias("pos_idx"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +66,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/pairrank/{_RUN_ID}/{name}-{uuid.uuid4().hex[:8]}"
 
 
+_SCOPES: list[list[str]] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 
@@ -74,7 +78,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    for scope in _SCOPES:
+        scope.append(path)
+    out = df.sparkSession.read.parquet(path)
+    out._scratch_path = path
+    return out
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession):
+    """Delete the tables materialised inside the block when it ends.
+
+    Yields a list; append the DataFrames (returned by ``materialise``) that
+    must outlive the block.  Everything else written in the block is removed,
+    so a finished step leaves only its results in the shared folder.
+    """
+    created: list[str] = []
+    keep: list[DataFrame] = []
+    _SCOPES.append(created)
+    try:
+        yield keep
+    finally:
+        _SCOPES.remove(created)
+        kept = {getattr(df, "_scratch_path", None) for df in keep}
+        for path in created:
+            if path not in kept:
+                delete_path(spark, path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
