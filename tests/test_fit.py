@@ -174,3 +174,13 @@ def test_unknown_ids_score_null(spark, small_data):
     got = {(r.user_id, r.item_id): r.score for r in model.score(pairs).collect()}
     assert got[(known_user, known_item)] is not None
     assert got[(-99, known_item)] is None and got[(known_user, -5)] is None
+
+
+def test_old_iterations_are_deleted(spark, small_data):
+    import os
+    cfg = BPRConfig(k=2, iterations=3, num_shards=3, samples_per_user=2, seed=4, retain_iterations=2)
+    model = fit(None, cfg, data=small_data)
+    base = model.paths[0].rsplit("/", 1)[0].replace("file:", "")
+    assert sorted(os.listdir(base)) == ["iter-2", "iter-3"]
+    assert model.user_factors.count() == small_data.num_users
+    assert model.item_factors.count() == small_data.num_items
