@@ -175,18 +175,22 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int,
              .join(seen_pairs, ["user_idx", "_cand"], "left")
              .withColumn("neg_idx", F.when(F.col("_hit").isNull(), F.col("_cand")))
              .drop("_cand", "_hit"))
-    if workdir:
-        tried.write.mode("overwrite").parquet(f"{workdir}/tried-negatives")
-        tried = draws.sparkSession.read.parquet(f"{workdir}/tried-negatives")
-    else:
-        tried = materialise(tried, "tried-negatives")
+    tried = _save(tried, workdir, "tried-negatives")
     accepted = tried.where(F.col("neg_idx").isNotNull())
     rejected = (tried.where(F.col("neg_idx").isNull()).drop("neg_idx")
                 .withColumn("r", uniform_below(F.lit(n) - F.col("n_items"), *_draw_keys(seed, "neg"))))
-    resolved = unrank_unseen(rejected, data.seen, n).drop("r")
+    resolved = _save(unrank_unseen(rejected, data.seen, n).drop("r"), workdir, "resolved-negatives")
+    # both parts are files: the result has no lineage to recompute
     return accepted.unionByName(resolved)
 
 
+def _save(df: DataFrame, workdir: str | None, name: str) -> DataFrame:
+    if not workdir:
+        return materialise(df, name)
+    df.write.mode("overwrite").parquet(f"{workdir}/{name}")
+    return df.sparkSession.read.parquet(f"{workdir}/{name}")
+
+
 def sample_pairs(data: TrainingData, iteration: int, seed: int, mode: str = "uniform_user",
                  samples_per_user: int = 100, per_positive: PerPositivePlan | None = None,
                  negatives: int = 1, workdir: str | None = None) -> DataFrame:
