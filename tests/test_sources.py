@@ -82,3 +82,18 @@ def test_write_factors_text_is_ordered(spark):
     files = sorted(f for f in os.listdir(d + "/f") if f.startswith("part-"))
     ordered = [line for f in files for line in open(os.path.join(d + "/f", f)).read().split()]
     assert ordered == sorted(ordered, key=lambda s: int(s[1:s.index(",")]))
+
+
+def test_to_behaviour_three_fields_and_json(spark):
+    import json
+
+    from pairrank.sources import to_behaviour, write_behaviour
+    src = spark.createDataFrame([(5, 9, 1.5)], "u bigint, i bigint, score double")
+    typed = to_behaviour(src, {"user_id": "u", "item_id": "i", "bhv_amt": "score"})
+    row = typed.first()
+    assert (row.user_id, row.item_id, row.bhv_amt, row.bhv_cnt) == ("5", "9", 1.5, 1)
+    assert row.bhv_type is None and row.content is None and row.bhv_datetime is None
+    d = tempfile.mkdtemp(prefix="behaviour-json-")
+    write_behaviour(typed, d + "/j")
+    lines = [json.loads(r.value) for r in spark.read.text(d + "/j").collect()]
+    assert lines == [{"user_id": "5", "item_id": "9", "bhv_amt": 1.5, "bhv_cnt": 1}]
