@@ -152,8 +152,12 @@ def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = No
                     .withColumn("eligible", (F.col("n_items") > 0) & (F.col("n_items") < F.lit(num_items))))
         eligible = rank_within(per_user.where("eligible"), ["shard"], ["user_idx"], "erank",
                                num_parts=num_parts)
+        # written in as many balanced parts as shuffle partitions: every iteration
+        # generates its draws from this table without a shuffle before them
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         users = materialise(
-            eligible.unionByName(per_user.where("NOT eligible").withColumn("erank", F.lit(None).cast("bigint"))),
+            eligible.unionByName(per_user.where("NOT eligible").withColumn("erank", F.lit(None).cast("bigint")))
+            .repartition(n, "user_idx"),
             "users")
         num_users = users.count()
         shard_stats = materialise(

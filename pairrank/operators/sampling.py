@@ -110,7 +110,9 @@ def _per_positive_plan(data: TrainingData, negatives: int, max_user_rows: int) -
                                                  F.lit(p)).cast("int")).drop("_urow")
         rows = light.unionByName(split.select(*light.columns))
     ranked = rank_within(rows, ["shard"], ["user_idx", "pos_idx", "_c"], "draw_no")
-    draws = materialise(ranked.select("shard", "draw_no", "user_idx", "n_items", "pos_idx"), "per-positive")
+    n = int(data.seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = materialise(ranked.select("shard", "draw_no", "user_idx", "n_items", "pos_idx")
+                        .repartition(n, "shard", "draw_no"), "per-positive")
     shards_of = (heavy.select("user_idx", F.explode(F.sequence(F.lit(0), F.least(F.col("_chunks"), F.lit(p)) - 1))
                               .alias("_k"))
                  .select("user_idx", F.pmod(F.col("user_idx") + F.col("_k"), F.lit(p)).cast("int").alias("shard")))
