@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from . import exact_dedup, id_store, packing, prefix_counts, url_rules
+from . import exact_dedup, id_store, near_dedup, packing, prefix_counts, url_rules
 from .common import load
 
 
@@ -21,6 +21,11 @@ def op1_packing(spark, sf_dir):
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_near_dedup(spark, sf_dir):
+    """Components of documents with similar two-word shingle sets."""
+    return near_dedup.near_duplicates(_documents(spark, sf_dir), width=2)
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Copies among all documents."""
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
@@ -45,7 +50,7 @@ def op10_prefix_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > prefix_counts.LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_exact_dedup, op8_id_store, op9_url_rules, op10_prefix_counts)}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_near_dedup, op4_exact_dedup, op8_id_store, op9_url_rules, op10_prefix_counts)}
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op9_url_rules": url_rules.ORACLE}
 
 
