@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from . import exact_dedup, id_store, near_dedup, packing, prefix_counts, url_rules
+from . import decontaminate, exact_dedup, id_store, near_dedup, packing, prefix_counts, toxicity, url_rules
 from .common import load
 
 
@@ -31,6 +31,17 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(_documents(spark, sf_dir))
 
 
+def op5_decontaminate(spark, sf_dir):
+    """Every place where a document repeats a benchmark item within the edit budget."""
+    return decontaminate.find_items(_documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
+
+
+def op7_toxicity(spark, sf_dir):
+    """Toxicity scores of all documents, learnt from the labelled rows that are not held out."""
+    docs = _documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+
+
 def op8_id_store(spark, sf_dir):
     """All documents' ids written to files and read back."""
     docs, path = _documents(spark, sf_dir), scratch_path(spark, "token-ids")
@@ -50,7 +61,8 @@ def op10_prefix_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > prefix_counts.LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_near_dedup, op4_exact_dedup, op8_id_store, op9_url_rules, op10_prefix_counts)}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_near_dedup, op4_exact_dedup, op5_decontaminate,
+                                     op7_toxicity, op8_id_store, op9_url_rules, op10_prefix_counts)}
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op9_url_rules": url_rules.ORACLE}
 
 
