@@ -129,12 +129,12 @@ class ItemIndex:
         nxt = np.searchsorted(keys, keys + 1)
         with_next = n + np.where((nxt < len(keys)) & (keys[np.minimum(nxt, len(keys) - 1)] == keys + 1),
                                  n[np.minimum(nxt, len(keys) - 1)], 0)
+        enough = with_next >= self.bound[keys // (low << 1)]
         out = []
-        for key, shared in zip(keys, with_next):
-            k = int(key) // (low << 1)
-            if shared >= self.bound[k]:
-                half, band = int(self.edits[k]) + 1, int(key) % (low << 1) - low
-                out.append((k, band * half, (band + 2) * half - 1, int(shared)))
+        for key, shared in zip(keys[enough].tolist(), with_next[enough].tolist()):
+            k, band = key // (low << 1), key % (low << 1) - low
+            half = int(self.edits[k]) + 1
+            out.append((k, band * half, (band + 2) * half - 1, shared))
         return out
 
     def occurrences(self, text: str) -> list[tuple[int | None, int, int, int, int]]:
@@ -146,7 +146,12 @@ class ItemIndex:
         for k, first, last, shared in self.bands(qgrams(c)) if c is not None else []:
             item, edits = self.codes[k], int(self.edits[k])
             a = max(0, first - edits)
-            window = c[a:max(a, last + len(item) + edits + 1)]
+            b = max(a, last + len(item) + edits + 1)
+            at = text.find(self.texts[k], a, b)  # one diagonal without an edit needs no alignment
+            if at >= 0:
+                found.append((k, at, at + len(item), 0, shared))
+                continue
+            window = c[a:b]
             distance, end = align(item, window, first - a - edits, last - a + edits)
             if distance <= edits:
                 back, size = align(item[::-1], window[:end][::-1], -edits, edits, anchored=True)

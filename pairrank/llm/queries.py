@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from . import decontaminate, exact_dedup, id_store, near_dedup, packing, prefix_counts, toxicity, url_rules
+from . import decontaminate, exact_dedup, id_store, near_dedup, packing, pii, prefix_counts, toxicity, url_rules
 from .common import load
 
 
@@ -21,6 +21,11 @@ def op1_packing(spark, sf_dir):
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_pii(spark, sf_dir):
+    """Personal data in all documents."""
+    return pii.find_personal_data(_documents(spark, sf_dir))
+
+
 def op3_near_dedup(spark, sf_dir):
     """Components of documents with similar two-word shingle sets."""
     return near_dedup.near_duplicates(_documents(spark, sf_dir), width=2)
@@ -61,7 +66,7 @@ def op10_prefix_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > prefix_counts.LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_near_dedup, op4_exact_dedup, op5_decontaminate,
+QUERIES = {f.__name__: f for f in (op1_packing, op2_pii, op3_near_dedup, op4_exact_dedup, op5_decontaminate,
                                      op7_toxicity, op8_id_store, op9_url_rules, op10_prefix_counts)}
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op9_url_rules": url_rules.ORACLE}
 
