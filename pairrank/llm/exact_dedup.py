@@ -242,7 +242,7 @@ def _shard_of(digest, shards: int):
     return F.pmod(F.xxhash64(digest), F.lit(shards)).cast("int")
 
 
-def _change(key, old: pa.Table, changes: pa.Table) -> pa.Table:
+def _change(key, old, changes):
     """One shard after its changes, in the order of ``seq``; inserting a live key
     or deleting an absent one changes nothing."""
     index = ShardIndex.from_bytes(old.column("index")[0].as_py()) if old.num_rows else ShardIndex()
@@ -273,7 +273,7 @@ def change_index(index: DataFrame | None, changes: DataFrame, shards: int) -> Da
     return old.groupBy("shard").cogroup(last.groupBy("shard")).applyInArrow(_change, _SHARDS)
 
 
-def _look(key, old: pa.Table, asked: pa.Table) -> pa.Table:
+def _look(key, old, asked):
     index = ShardIndex.from_bytes(old.column("index")[0].as_py()) if old.num_rows else ShardIndex()
     digest = asked.column("digest").to_pylist()
     return pa.table({"digest": pa.array(digest, pa.binary()),

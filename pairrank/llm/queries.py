@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from . import decontaminate, exact_dedup, id_store, near_dedup, packing, pii, prefix_counts, toxicity, url_rules
+from . import decontaminate, exact_dedup, id_store, katz, near_dedup, packing, pii, prefix_counts, toxicity, url_rules
 from .common import load
 
 
@@ -41,6 +41,11 @@ def op5_decontaminate(spark, sf_dir):
     return decontaminate.find_items(_documents(spark, sf_dir), load(spark, sf_dir, "benchmark"))
 
 
+def op6_katz(spark, sf_dir):
+    """Katz back-off scores of all documents."""
+    return katz.score_documents(_documents(spark, sf_dir))
+
+
 def op7_toxicity(spark, sf_dir):
     """Toxicity scores of all documents, learnt from the labelled rows that are not held out."""
     docs = _documents(spark, sf_dir)
@@ -67,7 +72,7 @@ def op10_prefix_counts(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_pii, op3_near_dedup, op4_exact_dedup, op5_decontaminate,
-                                     op7_toxicity, op8_id_store, op9_url_rules, op10_prefix_counts)}
+                                     op6_katz, op7_toxicity, op8_id_store, op9_url_rules, op10_prefix_counts)}
 ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op9_url_rules": url_rules.ORACLE}
 
 
