@@ -137,11 +137,15 @@ class PrefixCounter:
     def chunk(self, chunk: str) -> bytes:
         """Differences of the counts at the chunk's code points, 32-bit each."""
         out: list[int] = []
+        run, base = "", 0  # the ordinary text since the last special string, and the count before it
         for part in self.cut.split(chunk) if "<" in chunk else [chunk]:
-            base = out[-1] if out else 0
+            before = out[-1] if out else 0
             if part in self.special:
-                out += [base + c for c in self._run(part)[:-1]] + [base + 1]
+                # a cut special string is ordinary text and may join what stands before it
+                out += [base + c for c in self._run(run + part)[-len(part):-1]] + [before + 1]
+                run, base = "", before + 1
             elif part:
+                run, base = part, before
                 out += [base + c for c in self._run(part)]
         return np.diff(np.array(out, np.int32), prepend=np.int32(0)).astype("<i4").tobytes()
 
