@@ -42,10 +42,6 @@ def sigmoid_weight(x: Column | str) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(_c(x)))
 
 
-def scaled_sum(a: Column | str, b: Column | str, scale_b: float = 1.0) -> Column:
-    """a + scale_b * b element-wise."""
-    return F.zip_with(_c(a), _c(b), lambda x, y: x + y * F.lit(scale_b))
-
 
 def zeros(k: int) -> Column:
     return F.array_repeat(F.lit(0.0), k)

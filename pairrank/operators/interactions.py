@@ -18,30 +18,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import intermediate_tables, materialise
-from .ranking import rank_within
-
-
-def _broadcast_threshold(spark) -> int:
-    """spark.sql.autoBroadcastJoinThreshold in bytes (-1: never broadcast)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    utils = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils
-    return int(utils.byteStringAsBytes(raw)) if not raw.strip().startswith("-") else -1
-
-
-def _file_bytes(df: DataFrame) -> int:
-    """Total size of the files a file-backed DataFrame reads (metadata only)."""
-    sc = df.sparkSession.sparkContext
-    conf = sc._jsc.hadoopConfiguration()
-    total = 0
-    for name in df.inputFiles():
-        path = sc._jvm.org.apache.hadoop.fs.Path(name)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
+from ..session import delete_path, intermediate_tables, materialise
+from .ranking import dense_index, rank_within
 
 
 def assign_shards(df: DataFrame, num_shards: int, idx_col: str = "user_idx") -> DataFrame:
@@ -50,33 +31,43 @@ def assign_shards(df: DataFrame, num_shards: int, idx_col: str = "user_idx") ->
 
 
 def interaction_stats(interactions: DataFrame) -> DataFrame:
-    """Row, pair, user and item counts and id ranges in one pass."""
-    return interactions.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("user_id", "item_id").alias("n_pairs"),
+    """Row, pair, user and item counts and id ranges.
+
+    Rows are folded to pairs first, so only distinct pairs are counted by user
+    and by item; a pair with a NULL id is no pair and a NULL id no user or item.
+    """
+    pairs = interactions.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("_n"))
+    whole = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
+    return pairs.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.count_if(whole).alias("n_pairs"),
         F.count_distinct("user_id").alias("n_users"),
         F.count_distinct("item_id").alias("n_items"),
         F.min("user_id").alias("min_user_id"), F.max("user_id").alias("max_user_id"),
         F.min("item_id").alias("min_item_id"), F.max("item_id").alias("max_item_id"))
 
 
-def ranked_pairs(interactions: DataFrame, num_parts: int | None = None) -> DataFrame:
-    """Distinct pairs with dense indexes, item rank within the user and counts.
+def folded_pairs(interactions: DataFrame) -> DataFrame:
+    """(user_id, item_id, copies), one row per distinct pair, NULL ids included."""
+    return interactions.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def ranked_pairs(pairs: DataFrame, num_parts: int | None = None,
+                 item_index: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs (user_id, item_id, copies) with dense indexes and item rank within the user.
 
-    Duplicates are folded into ``copies`` by a map-side-combined aggregation
-    keyed on the pair; the indexes and ranks come from range-partitioned
-    passes (see ``ranking``), so a hot user or item is split across tasks.
+    The indexes and ranks come from range-partitioned passes (see
+    ``ranking``), so a hot user or item is split across tasks.  With
+    ``item_index`` (a catalogue's item_id, item_idx) items keep its numbers.
     """
-    # written once: the range partitioning below samples its input before reading it
-    pairs = materialise(
-        interactions.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
-        .groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("copies")),
-        "pairs")
-    # ordering by user within the item keeps the range key unique, so a hot item is split too
-    with_items = rank_within(pairs, ["item_id"], ["user_id"], None, index_col="item_idx",
-                             num_parts=num_parts)
-    return rank_within(with_items, ["user_id"], ["item_id"], "item_rank", index_col="user_idx",
-                       count_col="n_items", num_parts=num_parts)
+    if item_index is None:
+        # ordering by user within the item keeps the range key unique, so a hot item is split too
+        with_items = rank_within(pairs, ["item_id"], ["user_id"], None, index_col="item_idx", num_parts=num_parts)
+    else:
+        with_items = pairs.join(item_index, "item_id")
+    # written once: the range partitioning samples its input before reading it
+    return rank_within(materialise(with_items, "item-ranked"), ["user_id"], ["item_id"], "item_rank",
+                       index_col="user_idx", count_col="n_items", num_parts=num_parts)
 
 
 @dataclass
@@ -88,6 +79,7 @@ class TrainingData:
     num_users: int
     num_items: int
     num_shards: int
+    n_null_rows: int = 0      # input rows left out because an id is NULL
 
     @property
     def user_index(self) -> DataFrame:
@@ -97,59 +89,49 @@ class TrainingData:
     def eligible(self) -> DataFrame:
         return self.users.where("eligible")
 
-    def _lookup(self, name: str, df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-        """A static table every iteration joins on ``keys``.
-
-        If its files are below the session's broadcast threshold (the size the
-        planner itself compares) it is returned as is and the planner
-        broadcasts it.  Above, it is hash-partitioned on ``keys`` once
-        and kept (memory, then disk), so iterations shuffle only the draws.
-        The keys are unique per row, so a hot user's rows still spread over
-        partitions; a lost block is recomputed from the written table.
-        """
-        spark = df.sparkSession
-        if _file_bytes(df) <= _broadcast_threshold(spark):
-            return df
-        cache = self.__dict__.setdefault("_partitioned", {})
-        if name not in cache:
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            cache[name] = df.repartition(n, *keys).persist(StorageLevel.MEMORY_AND_DISK)
-        return cache[name]
-
-    def seen_partitioned(self, keys: tuple[str, ...]) -> DataFrame:
-        """(user_idx, item_rank, item_idx) for joins on ``keys``."""
-        return self._lookup("seen:" + ",".join(keys), self.seen.select("user_idx", "item_rank", "item_idx"),
-                            keys)
-
-    def eligible_partitioned(self) -> DataFrame:
-        """Eligible users for the draw lookup on (shard, erank)."""
-        return self._lookup("eligible", self.eligible.select("shard", "erank", "user_idx", "n_items"),
-                            ("shard", "erank"))
-
-    def release(self) -> None:
-        """Unpersist the partitioned copies."""
-        for df in self.__dict__.pop("_partitioned", {}).values():
-            df.unpersist()
-
-
-def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = None) -> TrainingData:
+    def close(self) -> None:
+        """Delete the prepared tables."""
+        for df in (self.seen, self.users, self.shard_stats, self.item_index):
+            if getattr(df, "_scratch_path", None):
+                delete_path(df.sparkSession, df._scratch_path)
+
+
+def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = None,
+            catalogue: DataFrame | None = None, strict: bool = False) -> TrainingData:
     """Build and materialise the static training tables.
 
+    ``catalogue`` (item_id): items that exist besides the seen ones; they are
+    indexed with them and can be drawn as negatives.  Rows with a NULL id are
+    left out and counted in ``n_null_rows``; ``strict`` raises instead.
     Intermediate tables (pairs, tagged rows) are deleted once the results exist.
     """
+    if num_shards < 1:
+        raise ValueError(f"num_shards must be positive, not {num_shards}")
     spark = interactions.sparkSession
     with intermediate_tables(spark) as keep:
+        folded = materialise(folded_pairs(interactions), "pairs")
+        whole = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
+        n_null = folded.where(~whole).agg(F.sum("copies")).first()[0] or 0
+        if strict and n_null:
+            raise ValueError(f"{n_null} interaction rows have a NULL user_id or item_id")
+        pairs, index = folded.where(whole), None
+        if catalogue is not None:
+            ids = pairs.select("item_id").unionByName(catalogue.select(F.col("item_id").cast("bigint").alias("item_id")))
+            index = materialise(dense_index(ids, "item_id", "item_idx", num_parts), "item-index")
         seen = materialise(
-            assign_shards(ranked_pairs(interactions, num_parts), num_shards)
+            assign_shards(ranked_pairs(pairs, num_parts, index), num_shards)
             .select("user_id", "user_idx", "item_id", "item_idx", "item_rank", "copies",
                     "n_items", "shard"),
             "seen")
-        item_index = materialise(seen.select("item_id", "item_idx").distinct(), "item-index")
+        item_index = index if index is not None else materialise(
+            seen.select("item_id", "item_idx").distinct(), "item-index")
         num_items = item_index.count()
-        per_user = (seen.groupBy("user_idx", "user_id", "shard", "n_items")
-                    .agg(F.sum("copies").cast("bigint").alias("n_rows"))
-                    .withColumn("urank", F.floor((F.col("user_idx") - 1) / F.lit(num_shards)).cast("bigint"))
-                    .withColumn("eligible", (F.col("n_items") > 0) & (F.col("n_items") < F.lit(num_items))))
+        per_user = materialise(
+            seen.groupBy("user_idx", "user_id", "shard", "n_items")
+            .agg(F.sum("copies").cast("bigint").alias("n_rows"))
+            .withColumn("urank", F.floor((F.col("user_idx") - 1) / F.lit(num_shards)).cast("bigint"))
+            .withColumn("eligible", (F.col("n_items") > 0) & (F.col("n_items") < F.lit(num_items))),
+            "per-user")
         eligible = rank_within(per_user.where("eligible"), ["shard"], ["user_idx"], "erank",
                                num_parts=num_parts)
         # written in as many balanced parts as shuffle partitions: every iteration
@@ -166,7 +148,7 @@ def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = No
             "shard-stats")
         keep.extend([seen, item_index, users, shard_stats])
     return TrainingData(seen=seen, users=users, shard_stats=shard_stats, item_index=item_index,
-                        num_users=num_users, num_items=num_items, num_shards=num_shards)
+                        num_users=num_users, num_items=num_items, num_shards=num_shards, n_null_rows=int(n_null))
 
 
 def user_items(data: TrainingData) -> DataFrame:

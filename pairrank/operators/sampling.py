@@ -8,9 +8,10 @@ Two modes:
   eligible users draws nothing), then a positive uniformly from that user's
   distinct items.
 * ``per_positive``: every input row (duplicates kept) is a positive of
-  eligible users, with ``negatives`` unseen items each; the draw order within a
-  shard is (user, item, copy, negative).  A user with more rows than one shard
-  takes is split into chunks on consecutive shards.
+  eligible users, with ``negatives`` unseen items each.  Each of these draws is
+  dealt to a shard by a hash of its user, item and copy, whoever the user is,
+  so no user's rows are one shard's work; the draw order within a shard is
+  (user, item, copy and negative).
 
 In both, the negative is uniform over the items the user has not seen.  The
 first candidate ``1 + h mod N`` is kept when unseen (one equi-join against
@@ -55,72 +56,65 @@ def uniform_user_draws(data: TrainingData, iteration: int, seed: int,
     draws = (per_shard_draws.join(stats, "shard")
              .withColumn("iteration", F.lit(iteration))
              .withColumn("erank", uniform_below("n_eligible", *_draw_keys(seed, "user"))))
-    eligible = data.eligible_partitioned()
-    draws = (draws.join(eligible, ["shard", "erank"])
+    draws = (draws.join(data.eligible.select("shard", "erank", "user_idx", "n_items"), ["shard", "erank"])
              .withColumn("item_rank", uniform_below("n_items", *_draw_keys(seed, "pos"))))
-    positives = data.seen_partitioned(("user_idx", "item_rank")).select(
-        "user_idx", "item_rank", F.col("item_idx").alias("pos_idx"))
+    positives = data.seen.select("user_idx", "item_rank", F.col("item_idx").alias("pos_idx"))
     return (draws.join(positives, ["user_idx", "item_rank"])
             .select("iteration", "shard", "draw_no", "user_idx", "n_items", "pos_idx"))
 
 
-# Rows (copies x negatives) of one user that one shard takes in the
-# per-positive mode; a user with more is split into chunks of this many rows,
-# placed on consecutive shards, and its vector is averaged over them.
-MAX_USER_ROWS_PER_SHARD = 1_000_000
+# Draws of one pair are expanded in blocks of this many, so that a pair with
+# many copies is no single row's work.
+COPY_BLOCK = 10_000
 
 
 @dataclass
 class PerPositivePlan:
-    draws: DataFrame          # shard, draw_no, user_idx, n_items, pos_idx
-    shared_users: DataFrame   # user_idx, shard, share: users whose rows span `share` shards
+    draws: DataFrame      # shard, draw_no, user_idx, n_items, pos_idx
+    holders: DataFrame    # user_idx, shard, share: the shards a user's draws lie in, and how many
 
 
-def per_positive_plan(data: TrainingData, negatives: int = 1,
-                      max_user_rows: int = MAX_USER_ROWS_PER_SHARD) -> PerPositivePlan:
+def per_positive_plan(data: TrainingData, negatives: int = 1, seed: int = 0) -> PerPositivePlan:
     """Static part of the per-positive mode: every (row copy, negative) of an
-    eligible user numbered densely within its shard.  Materialised once.
+    eligible user, dealt to a shard and numbered densely within it.  Materialised once.
 
-    A user's rows stay in its own shard ``user_idx mod P`` unless there are
-    more than ``max_user_rows`` of them; then chunk c of the user's ordered rows
-    goes to shard ``(user_idx + c) mod P``, so no task holds an unbounded user.
+    The same rule holds for every user: draw c of pair (u, i) goes to shard
+    ``hash(seed, u, i, c) mod P``, and each user's vector is merged from the
+    shards that hold its draws.
     """
+    _positive(negatives=negatives)
     with intermediate_tables(data.seen.sparkSession) as keep:
-        plan = _per_positive_plan(data, negatives, max_user_rows)
-        keep.extend([plan.draws, plan.shared_users])
+        plan = _per_positive_plan(data, negatives, seed)
+        keep.extend([plan.draws, plan.holders])
     return plan
 
 
-def _per_positive_plan(data: TrainingData, negatives: int, max_user_rows: int) -> PerPositivePlan:
-    p = data.num_shards
-    rows = (data.seen.where(F.col("n_items") < F.lit(data.num_items))
-            .select("shard", "user_idx", "n_items", F.col("item_idx").alias("pos_idx"),
-                    F.explode(F.sequence(F.lit(0), F.col("copies") * F.lit(negatives) - 1)).alias("_c")))
-    # at most (all rows / max_user_rows) users qualify: a table of bounded size
-    heavy = materialise(
-        data.users.where(F.col("eligible") & (F.col("n_rows") * F.lit(negatives) > F.lit(max_user_rows)))
-        .select("user_idx", F.ceil(F.col("n_rows") * F.lit(negatives) / F.lit(max_user_rows))
-                .cast("bigint").alias("_chunks")),
-        "heavy-users")
-    if heavy.limit(1).count():
-        light = rows.join(F.broadcast(heavy), "user_idx", "left_anti")
-        split = rank_within(rows.join(F.broadcast(heavy.select("user_idx")), "user_idx", "left_semi"),
-                            ["user_idx"], ["pos_idx", "_c"], "_urow")
-        split = split.withColumn("shard", F.pmod(F.col("user_idx") + F.floor(F.col("_urow") / F.lit(max_user_rows)),
-                                                 F.lit(p)).cast("int")).drop("_urow")
-        rows = light.unionByName(split.select(*light.columns))
-    ranked = rank_within(rows, ["shard"], ["user_idx", "pos_idx", "_c"], "draw_no")
+def _positive(**values) -> None:
+    for name, value in values.items():
+        if value < 1:
+            raise ValueError(f"{name} must be positive, not {value}")
+
+
+def _per_positive_plan(data: TrainingData, negatives: int, seed: int) -> PerPositivePlan:
     n = int(data.seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = F.col("copies") * F.lit(negatives)
+    blocks = (data.seen.where(F.col("n_items") < F.lit(data.num_items))
+              .select("user_idx", "n_items", F.col("item_idx").alias("pos_idx"), total.alias("_total"),
+                      F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                           F.floor((total - 1) / F.lit(COPY_BLOCK)))).alias("_block"))
+              .repartition(n, "user_idx", "pos_idx", "_block"))
+    first = F.col("_block") * F.lit(COPY_BLOCK)
+    rows = blocks.select("user_idx", "n_items", "pos_idx", F.explode(
+        F.sequence(first, F.least(F.col("_total"), first + F.lit(COPY_BLOCK)) - 1)).alias("_c"))
+    dealt = rows.withColumn("shard", uniform_below(F.lit(data.num_shards), seed, "shard", "user_idx", "pos_idx", "_c")
+                            .cast("int"))
+    ranked = rank_within(materialise(dealt, "dealt"), ["shard"], ["user_idx", "pos_idx", "_c"], "draw_no")
     draws = materialise(ranked.select("shard", "draw_no", "user_idx", "n_items", "pos_idx")
                         .repartition(n, "shard", "draw_no"), "per-positive")
-    shards_of = (heavy.select("user_idx", F.explode(F.sequence(F.lit(0), F.least(F.col("_chunks"), F.lit(p)) - 1))
-                              .alias("_k"))
-                 .select("user_idx", F.pmod(F.col("user_idx") + F.col("_k"), F.lit(p)).cast("int").alias("shard")))
-    shared = materialise(
-        shards_of.join(shards_of.groupBy("user_idx").agg(F.count(F.lit(1)).cast("int").alias("share")),
-                       "user_idx").where(F.col("share") > 1),
-        "shared-users")
-    return PerPositivePlan(draws=draws, shared_users=shared)
+    held = materialise(draws.select("user_idx", "shard").distinct(), "held")
+    holders = materialise(held.join(held.groupBy("user_idx").agg(F.count(F.lit(1)).cast("int").alias("share")),
+                                    "user_idx"), "holders")
+    return PerPositivePlan(draws=draws, holders=holders)
 
 
 def per_positive_draws(plan: PerPositivePlan, iteration: int) -> DataFrame:
@@ -170,8 +164,7 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int,
     """
     n = data.num_items
     cand = (uniform_below(F.lit(n), *_draw_keys(seed, "cand")) + 1).cast("bigint")
-    seen_pairs = data.seen_partitioned(("user_idx", "item_idx")).select(
-        "user_idx", F.col("item_idx").alias("_cand"), F.lit(True).alias("_hit"))
+    seen_pairs = data.seen.select("user_idx", F.col("item_idx").alias("_cand"), F.lit(True).alias("_hit"))
     # read three times below (accepted, rejected, their users): written once
     tried = (draws.withColumn("_cand", cand)
              .join(seen_pairs, ["user_idx", "_cand"], "left")
@@ -197,10 +190,11 @@ def sample_pairs(data: TrainingData, iteration: int, seed: int, mode: str = "uni
                  samples_per_user: int = 100, per_positive: PerPositivePlan | None = None,
                  negatives: int = 1, workdir: str | None = None) -> DataFrame:
     """samples(iteration, shard, draw_no, user_idx, pos_idx, neg_idx) for one iteration."""
+    _positive(samples_per_user=samples_per_user, negatives=negatives)
     if mode == "uniform_user":
         draws = uniform_user_draws(data, iteration, seed, samples_per_user)
     elif mode == "per_positive":
-        plan = per_positive if per_positive is not None else per_positive_plan(data, negatives)
+        plan = per_positive if per_positive is not None else per_positive_plan(data, negatives, seed)
         draws = per_positive_draws(plan, iteration)
     else:
         raise ValueError(f"unknown sampling mode {mode!r}")

@@ -89,11 +89,11 @@ draws_pos AS (SELECT {iteration} AS iteration, d3.shard, d3.draw_no, d3.user_idx
               FROM d3 JOIN seen s ON s.user_idx = d3.user_idx AND s.item_rank = d3.item_rank)"""
 
 
-def per_positive_samples_cte(num_shards: int, iteration: int, negatives: int) -> str:
+def per_positive_samples_cte(num_shards: int, iteration: int, negatives: int, seed: int) -> str:
     return f"""
-pp AS (SELECT CAST(user_idx % {num_shards} AS INTEGER) AS shard, user_idx, n_items, item_idx AS pos_idx,
-              unnest(range(copies * {negatives})) AS c
+pc AS (SELECT user_idx, n_items, item_idx AS pos_idx, unnest(range(copies * {negatives})) AS c
        FROM seen WHERE n_items < (SELECT n FROM nitems)),
+pp AS (SELECT *, CAST({h52(seed, 'shard', 'user_idx', 'pos_idx', 'c')} % {num_shards} AS INTEGER) AS shard FROM pc),
 draws_pos AS (SELECT {iteration} AS iteration, shard,
                      row_number() OVER (PARTITION BY shard ORDER BY user_idx, pos_idx, c) - 1 AS draw_no,
                      user_idx, n_items, pos_idx FROM pp)"""

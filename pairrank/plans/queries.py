@@ -345,8 +345,8 @@ def oracle_sql() -> dict[str, str]:
     base = O.with_ctes(orders, P)
     uni = O.with_ctes(orders, P, O.uniform_user_samples_cte(SEED, 1, SPU), O.negatives_cte(SEED))
     uni_ev = O.with_ctes(events, P, O.uniform_user_samples_cte(SEED, 1, SPU), O.negatives_cte(SEED))
-    pp = O.with_ctes(orders, P, O.per_positive_samples_cte(P, 1, 1), O.negatives_cte(SEED))
-    pp_ev = O.with_ctes(events, P, O.per_positive_samples_cte(P, 1, 1), O.negatives_cte(SEED))
+    pp = O.with_ctes(orders, P, O.per_positive_samples_cte(P, 1, 1, SEED), O.negatives_cte(SEED))
+    pp_ev = O.with_ctes(events, P, O.per_positive_samples_cte(P, 1, 1, SEED), O.negatives_cte(SEED))
     uni_f = O.with_ctes(orders, P, O.uniform_user_samples_cte(SEED, 1, SPU), O.negatives_cte(SEED),
                         *_factor_ctes(), *_margin_sql_ctes())
     base_f = O.with_ctes(orders, P, *_factor_ctes())

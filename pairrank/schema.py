@@ -24,25 +24,6 @@ BEHAVIOUR = T.StructType([
     T.StructField("bhv_datetime", T.TimestampType()),
 ])
 
-INTERACTIONS = T.StructType([
-    T.StructField("user_id", T.LongType()),
-    T.StructField("item_id", T.LongType()),
-])
-
-SAMPLES = T.StructType([
-    T.StructField("iteration", T.IntegerType()),
-    T.StructField("shard", T.IntegerType()),
-    T.StructField("draw_no", T.LongType()),
-    T.StructField("user_idx", T.LongType()),
-    T.StructField("pos_idx", T.LongType()),
-    T.StructField("neg_idx", T.LongType()),
-])
-
-FACTORS = T.StructType([
-    T.StructField("idx", T.LongType()),
-    T.StructField("factors", T.ArrayType(T.DoubleType())),
-])
-
 # Output of the per-shard training kernel: new user rows, item deltas.
 SHARD_OUTPUT = T.StructType([
     T.StructField("shard", T.IntegerType()),

@@ -28,22 +28,39 @@ def parse_datetime(c: Column) -> Column:
                       F.try_to_timestamp(c, F.lit(DATETIME_24H)))
 
 
-def normalise_behaviour(raw: DataFrame) -> DataFrame:
+def _typed(raw: DataFrame) -> tuple[dict, dict]:
+    """Typed field expressions, and for the parsed fields whether the text is malformed."""
+    c = {name: _text(F.col(name).cast("string")) for name in RAW_BEHAVIOUR.fieldNames()}
+    parsed = {"bhv_amt": c["bhv_amt"].try_cast("double"), "bhv_cnt": c["bhv_cnt"].try_cast("bigint"),
+              "bhv_datetime": parse_datetime(c["bhv_datetime"])}
+    given = {name: c[name].isNotNull() & (F.trim(c[name]) != "") for name in parsed}
+    malformed = {name: F.coalesce(given[name] & value.isNull(), F.lit(False)) for name, value in parsed.items()}
+    parsed["bhv_cnt"] = F.when(F.coalesce(given["bhv_cnt"], F.lit(False)), parsed["bhv_cnt"]).otherwise(
+        F.lit(DEFAULT_COUNT).cast("bigint"))
+    return c | parsed, malformed
+
+
+def normalise_behaviour(raw: DataFrame, strict: bool = False) -> DataFrame:
     """Text behaviour rows → typed rows.
 
-    ``"null"`` becomes NULL in every field, a missing count becomes 1, and both
-    datetime forms become one timestamp.
+    ``"null"`` and the empty text are missing: NULL in every field, 1 for the
+    count.  Both datetime forms become one timestamp.  A malformed score, count
+    or datetime becomes NULL (``malformed_behaviour`` counts them); ``strict``
+    fails the job instead.
     """
-    c = {name: _text(F.col(name).cast("string")) for name in RAW_BEHAVIOUR.fieldNames()}
-    return raw.select(
-        c["user_id"].alias("user_id"),
-        c["item_id"].alias("item_id"),
-        c["bhv_type"].alias("bhv_type"),
-        c["bhv_amt"].try_cast("double").alias("bhv_amt"),
-        F.coalesce(c["bhv_cnt"].try_cast("bigint"), F.lit(DEFAULT_COUNT).cast("bigint")).alias("bhv_cnt"),
-        c["content"].alias("content"),
-        parse_datetime(c["bhv_datetime"]).alias("bhv_datetime"),
-    )
+    typed, malformed = _typed(raw)
+    if strict:
+        bad = malformed["bhv_amt"] | malformed["bhv_cnt"] | malformed["bhv_datetime"]
+        row = F.to_json(F.struct(*RAW_BEHAVIOUR.fieldNames()))
+        raw = raw.where(F.when(bad, F.raise_error(F.concat(F.lit("malformed behaviour row: "), row)).cast("boolean"))
+                        .otherwise(F.lit(True)))
+    return raw.select(*[typed[name].alias(name) for name in FIELDS])
+
+
+def malformed_behaviour(raw: DataFrame) -> DataFrame:
+    """One row: how many scores, counts and datetimes are given but malformed."""
+    _, malformed = _typed(raw)
+    return raw.agg(*[F.count_if(bad).alias(name) for name, bad in malformed.items()])
 
 
 def raw_behaviour_from_events(events: DataFrame) -> DataFrame:

@@ -45,11 +45,10 @@ def to_interactions(behaviour: DataFrame, strict: bool = True) -> DataFrame:
                 .where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()))
     line = F.col("_line") if "_line" in behaviour.columns else F.concat_ws(
         SEPARATOR, F.col("user_id"), F.col("item_id"))
-    bad = user.isNull() | item.isNull()
+    # a filter that can raise stays in the plan whatever columns are read, also for a count
     fail = F.raise_error(F.concat(F.lit("malformed ratings line: "), F.coalesce(line, F.lit("NULL"))))
-    return behaviour.select(
-        F.when(bad, fail).otherwise(user).cast("bigint").alias("user_id"),
-        item.alias("item_id"))
+    good = F.when(user.isNull() | item.isNull(), fail.cast("boolean")).otherwise(F.lit(True))
+    return behaviour.where(good).select(user.alias("user_id"), item.alias("item_id"))
 
 
 def read_ratings(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:

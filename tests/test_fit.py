@@ -7,10 +7,10 @@ import pytest
 from pairrank.operators.evaluate import holdout_split, pairwise_auc
 from pairrank.operators.factors import init_factors
 from pairrank.operators.interactions import prepare
-from pairrank.operators.kernel import sgd_loop
 from pairrank.operators.sampling import sample_pairs
 from pairrank.plans.fit import BPRConfig, fit, trace_fit
 from pairrank.sources.tables import interactions_from_orders
+from plain import plain_steps
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -35,7 +35,7 @@ def _dense_fit(data, cfg):
         for p in range(cfg.num_shards):
             Up, Vp = U.copy(), V.copy()
             sp = s[s.shard == p].sort_values("draw_no")
-            sgd_loop(Up, Vp, sp.user_idx.tolist(), sp.pos_idx.tolist(), sp.neg_idx.tolist(), cfg.alpha, cfg.lam)
+            plain_steps(Up, Vp, sp.user_idx.tolist(), sp.pos_idx.tolist(), sp.neg_idx.tolist(), cfg.alpha, cfg.lam)
             copies.append((Up, Vp))
         V = sum(c[1] for c in copies) / cfg.num_shards
         if cfg.strategy == "full_average":
@@ -80,13 +80,18 @@ def test_trace_matches_fit(spark):
     t = m.trace.toPandas()
     n_rows = interactions_from_orders(spark, SF_SMALL).count()
     assert len(t) == n_rows  # one negative per input row, all users eligible here
-    # the last step touching a user leaves the value the user ends with (averaged over P)
-    last = t.sort_values(["shard", "step"]).groupby("user_idx").tail(1)
+    # a user's vector moves by the mean of what its last step in each shard leaves
+    last = t.sort_values(["shard", "step"]).groupby(["shard", "user_idx"]).tail(1)
     init = {r.idx: np.array(r.factors) for r in m.snapshots.where("phase = 'init' AND kind = 'user'").collect()}
     final = {r.user_idx: np.array(r.factors) for r in m.user_factors.collect()}
+    expect = {u: v.copy() for u, v in init.items()}
     for r in last.itertuples():
-        expect = init[r.user_idx] + (np.array(r.user_after) - init[r.user_idx]) / 2
-        assert np.abs(final[r.user_idx] - expect).max() < 1e-12
+        expect[r.user_idx] += (np.array(r.user_after) - init[r.user_idx]) / 2
+    assert max(np.abs(final[u] - v).max() for u, v in expect.items()) < 1e-9
+    chain = t.sort_values(["shard", "step"])
+    for _, g in chain.groupby(["shard", "user_idx"]):
+        before, after = np.stack(g.user_before.to_list()), np.stack(g.user_after.to_list())
+        assert np.array_equal(before[1:], after[:-1])
     phases = {r.phase for r in m.snapshots.select("phase").distinct().collect()}
     assert phases == {"init", "sum", "mean"}
 
@@ -106,51 +111,47 @@ def test_learning_beats_chance(spark):
     assert auc.auc > 0.7
 
 
-def _dense_fit_split(data, cfg, plan):
-    """Dense per-shard copies; users spread over shards merge by their deltas."""
+def _dense_fit_spread(data, cfg, plan):
+    """Dense per-shard copies; every user merges by the deltas of the shards that hold its draws."""
     U = _dense(init_factors(data.users, "user_idx", cfg.k, cfg.seed, "user"), "user_idx", data.num_users)
     V = _dense(init_factors(data.item_index, "item_idx", cfg.k, cfg.seed, "item"), "item_idx", data.num_items)
-    owner = data.users.toPandas().set_index("user_idx")["shard"]
-    share = plan.shared_users.toPandas().groupby("user_idx")["share"].max().to_dict()
+    share = plan.draws.toPandas().groupby("user_idx")["shard"].nunique().to_dict()
     for it in range(1, cfg.iterations + 1):
         s = sample_pairs(data, it, cfg.seed, mode="per_positive", per_positive=plan).toPandas()
         copies = []
         for p in range(cfg.num_shards):
             Up, Vp = U.copy(), V.copy()
             sp = s[s.shard == p].sort_values("draw_no")
-            sgd_loop(Up, Vp, sp.user_idx.tolist(), sp.pos_idx.tolist(), sp.neg_idx.tolist(), cfg.alpha, cfg.lam)
+            plain_steps(Up, Vp, sp.user_idx.tolist(), sp.pos_idx.tolist(), sp.neg_idx.tolist(), cfg.alpha, cfg.lam)
             copies.append((Up, Vp))
         V = sum(c[1] for c in copies) / cfg.num_shards
         newU = U.copy()
-        for uidx, p in owner.items():
-            if cfg.strategy == "full_average":
-                newU[uidx] = sum(c[0][uidx] for c in copies) / cfg.num_shards
-            elif uidx in share:
-                newU[uidx] = U[uidx] + sum(c[0][uidx] - U[uidx] for c in copies) / share[uidx]
-            else:
-                newU[uidx] = copies[p][0][uidx]
+        for uidx, n in share.items():
+            n = cfg.num_shards if cfg.strategy == "full_average" else n
+            newU[uidx] = U[uidx] + sum(c[0][uidx] - U[uidx] for c in copies) / n
         U = newU
     return U, V
 
 
 @pytest.mark.parametrize("strategy", ["user_sharded", "full_average"])
-def test_hot_user_is_split_across_shards(spark, strategy):
-    from pairrank.operators.sampling import per_positive_plan
-    # user 0 holds 240 of 300 rows; with 50 rows per shard it spans 4 shards
-    rows = [(0, i) for i in range(240)] + [(u, 230 + (u * 7 + j) % 30) for u in range(1, 31) for j in range(2)]
+def test_every_user_is_dealt_over_shards(spark, strategy, monkeypatch):
+    from pairrank.operators import sampling
+    monkeypatch.setattr(sampling, "COPY_BLOCK", 16)
+    # user 0 holds most rows, one pair of it 100 of them; user 99 has every item and draws nothing
+    rows = ([(0, i) for i in range(140)] + [(0, 5)] * 99 + [(u, 130 + (u * 7 + j) % 30) for u in range(1, 31) for j in range(2)]
+            + [(99, i) for i in range(160)])
     inter = spark.createDataFrame(pd.DataFrame(rows, columns=["user_id", "item_id"]))
     data = prepare(inter, num_shards=4)
-    cfg = BPRConfig(k=3, iterations=2, num_shards=4, seed=5, strategy=strategy, sampling="per_positive",
-                    max_user_rows=50)
-    plan = per_positive_plan(data, 1, 50)
+    cfg = BPRConfig(k=3, iterations=2, num_shards=4, seed=5, strategy=strategy, sampling="per_positive")
+    plan = sampling.per_positive_plan(data, 1, cfg.seed)
     d = plan.draws.toPandas()
-    hot = d[d.user_idx == 1]
-    assert len(hot) == 240
-    assert hot.groupby("shard").size().max() <= 100  # chunks of 50; 5 chunks over 4 shards
-    assert set(hot.shard) == {0, 1, 2, 3}
-    assert len(d) == len(rows)
+    assert len(d) == 239 + 60
+    hot = d[d.user_idx == 1].groupby("shard").size()
+    assert set(hot.index) == {0, 1, 2, 3} and hot.max() < 0.4 * hot.sum()
+    for _, g in d.groupby("shard"):
+        assert sorted(g.draw_no) == list(range(len(g)))
     model = fit(None, cfg, data=data)
-    U, V = _dense_fit_split(data, cfg, plan)
+    U, V = _dense_fit_spread(data, cfg, plan)
     gotU = _dense(model.user_factors, "user_idx", data.num_users)
     gotV = _dense(model.item_factors, "item_idx", data.num_items)
     assert model.user_factors.count() == data.num_users
@@ -158,6 +159,42 @@ def test_hot_user_is_split_across_shards(spark, strategy):
     assert np.abs(gotV - V).max() < 1e-9
 
 
+def test_bad_configurations_raise(spark, small_data):
+    for name in ("k", "iterations", "num_shards", "samples_per_user", "negatives"):
+        with pytest.raises(ValueError, match=name):
+            BPRConfig(**{name: 0})
+    with pytest.raises(ValueError):
+        BPRConfig(sampling="other")
+    with pytest.raises(ValueError, match="shards"):
+        fit(None, BPRConfig(k=2, iterations=1, num_shards=40), data=small_data)
+    with pytest.raises(ValueError, match="samples_per_user"):
+        sample_pairs(small_data, 1, 1, samples_per_user=0)
+    with pytest.raises(ValueError, match="negatives"):
+        sample_pairs(small_data, 1, 1, mode="per_positive", negatives=0)
+
+
+def test_steps_are_streamed_in_blocks(spark, small_data, monkeypatch):
+    """A shard's result does not depend on how its samples are cut into blocks."""
+    import pyarrow as pa
+
+    from pairrank.operators import kernel as K
+    rng = np.random.default_rng(3)
+    n = 500
+    vec = [rng.normal(size=2).tolist() for _ in range(20)]
+    rows = pa.table({
+        "shard": [0] * (20 + n), "tag": [0] * 8 + [1] * 12 + [2] * n, "draw_no": [0] * 20 + list(range(n)),
+        "a": list(range(8)) + list(range(12)) + rng.integers(0, 8, n).tolist(),
+        "b": [None] * 20 + rng.integers(0, 6, n).tolist(), "c": [None] * 20 + rng.integers(6, 12, n).tolist(),
+        "factors": vec + [None] * n})
+    out = []
+    for block in (10 ** 6, 37):
+        monkeypatch.setattr(K, "STEP_BLOCK", block)
+        run = K.shard_kernel(2, 0.1, 0.01, 3, average_users=False)
+        out.append(pa.Table.from_batches(list(run(iter(rows.to_batches(max_chunksize=50))))).to_pylist())
+    for x, y in zip(*out):
+        assert (x["kind"], x["idx"]) == (y["kind"], y["idx"]) and np.allclose(x["values"], y["values"], atol=1e-12)
+
+
 def test_fit_is_deterministic(spark, small_data):
     cfg = BPRConfig(k=3, iterations=1, num_shards=3, samples_per_user=5, seed=8)
     a = _dense(fit(None, cfg, data=small_data).user_factors, "user_idx", small_data.num_users)

@@ -81,17 +81,35 @@ def test_negatives_roughly_uniform(spark):
     assert np.abs(negs.values / negs.values.sum() - 1 / 8).max() < 0.03
 
 
-def test_partitioned_lookups_give_same_draws(spark):
+def test_draws_do_not_depend_on_the_join_strategy(spark):
     inter = interactions_from_orders(spark, SF_SMALL)
     a = sample_pairs(prepare(inter, num_shards=3), 1, 5, samples_per_user=10).toPandas()
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         data = prepare(inter, num_shards=3)
-        assert data.seen_partitioned(("user_idx", "item_rank")).storageLevel.useMemory
         b = sample_pairs(data, 1, 5, samples_per_user=10).toPandas()
-        data.release()
+        data.close()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     key = ["shard", "draw_no"]
     assert a.sort_values(key).reset_index(drop=True).equals(b.sort_values(key).reset_index(drop=True))
+
+
+def test_catalogue_items_are_drawn_as_negatives(spark):
+    rows = [(1, 5), (1, 7), (2, 7)]
+    catalogue = spark.createDataFrame([(i,) for i in (3, 5, 9, None)], "item_id long")
+    data = prepare(_inter(spark, rows), num_shards=1, catalogue=catalogue)
+    index = {r.item_id: r.item_idx for r in data.item_index.collect()}
+    assert index == {3: 1, 5: 2, 7: 3, 9: 4} and data.num_items == 4
+    s = sample_pairs(data, 1, 9, samples_per_user=200).toPandas()
+    assert set(s[s.user_idx == 1].neg_idx) == {1, 4} and set(s[s.user_idx == 2].neg_idx) == {1, 2, 4}
+
+
+def test_null_ids_are_counted_or_raise(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 5), (1, None), (None, 6), (None, 6), (2, 6)], "user_id long, item_id long")
+    data = prepare(df, num_shards=1)
+    assert data.n_null_rows == 3 and data.num_users == 2 and data.num_items == 2
+    with pytest.raises(ValueError, match="3 interaction rows"):
+        prepare(df, num_shards=1, strict=True)

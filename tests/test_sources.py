@@ -32,6 +32,40 @@ def test_strict_fails_on_bad_line(spark):
         read_ratings(spark, path, strict=True).collect()
 
 
+def test_strict_fails_whatever_is_read(spark):
+    path = _ratings_file(GOOD + ["7::abc::1", "x::12"])
+    for read in (lambda df: df.count(), lambda df: df.select("item_id").distinct().collect(),
+                 lambda df: df.select("user_id").collect(), lambda df: df.agg(F.max("item_id")).collect()):
+        with pytest.raises(Exception, match="malformed ratings line"):
+            read(read_ratings(spark, path, strict=True))
+
+
+def test_malformed_behaviour_is_null_counted_or_raises(spark):
+    from pairrank.sources import malformed_behaviour
+    rows = [("u", "i", "buy", "x", "3.0", "c", "soon"), ("u", "i", "buy", "1", "abc", "c", "null"),
+            ("u", "j", "buy", "null", "", "c", "2024-01-01 13:05:00"), ("u", "k", None, None, None, None, None)]
+    raw = spark.createDataFrame(rows, RAW_BEHAVIOUR)
+    got = normalise_behaviour(raw).orderBy("item_id", "bhv_amt").collect()
+    assert [(r.bhv_amt, r.bhv_cnt) for r in got] == [(None, None), (1.0, None), (None, 1), (None, 1)]
+    assert tuple(malformed_behaviour(raw).first()) == (1, 2, 1)
+    for bad in (raw.limit(1), raw.where("bhv_cnt = 'abc'")):
+        with pytest.raises(Exception, match="malformed behaviour row"):
+            normalise_behaviour(bad, strict=True).count()
+    assert normalise_behaviour(raw.where("item_id > 'i'"), strict=True).count() == 2
+
+
+def test_text_factors_read_back(spark):
+    from pairrank.sources import read_factors, write_factors
+    df = spark.createDataFrame([(3, [0.5, -1e-300]), (-1, [2.0, 0.1]), (2, [])], "user_id bigint, factors array<double>")
+    d = tempfile.mkdtemp(prefix="factors-back-")
+    write_factors(df, d + "/f", key="user_id", fmt="text")
+    got = {r.user_id: r.factors for r in read_factors(spark, d + "/f", fmt="text").collect()}
+    assert got == {3: [0.5, -1e-300], -1: [2.0, 0.1], 2: []}
+    spark.createDataFrame([("(1,oops",)], "value string").write.text(d + "/bad")
+    with pytest.raises(Exception, match="malformed factor line"):
+        read_factors(spark, d + "/bad", fmt="text").count()
+
+
 def test_lenient_drops_bad_lines(spark):
     path = _ratings_file(GOOD + ["7::abc::1", "justone", ""])
     assert read_ratings(spark, path, strict=False).count() == len(GOOD)

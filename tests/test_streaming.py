@@ -19,3 +19,14 @@ def test_stream_appends_pairs(spark):
     q.awaitTermination(120)
     got = sorted((r.user_id, r.item_id) for r in spark.read.parquet(out + "/t").collect())
     assert got == [(1, 10), (2, 11), (3, 12)]
+
+
+def test_strict_stream_fails_on_a_bad_line(spark):
+    import pytest
+    src = tempfile.mkdtemp(prefix="stream-bad-")
+    out = tempfile.mkdtemp(prefix="stream-bad-out-")
+    with open(os.path.join(src, "a.dat"), "w") as fh:
+        fh.write("1::10\n2::eleven\n")
+    q = append_interactions(ratings_stream(spark, src).select("user_id"), out + "/t", out + "/ckpt")
+    with pytest.raises(Exception, match="malformed ratings line"):
+        q.awaitTermination(120)
