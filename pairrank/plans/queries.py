@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot
@@ -22,10 +22,10 @@ from ..operators.merge import merge_factors, sum_deltas
 from ..operators.sampling import negatives_audit, sample_pairs
 from ..operators.score import score_pairs
 from ..session import scratch_path, ship_package
-from ..sources.behaviour import (DATETIME_24H, behaviour_from_events, distinct_behaviour,
+from ..sources.behaviour import (DATETIME_24H, behaviour_from_events, distinct_behaviour, malformed_behaviour,
                                  normalise_behaviour, raw_behaviour_from_events, render_behaviour)
 from ..sources.factors_io import read_factors, write_factors
-from ..sources.ratings import read_ratings, write_ratings
+from ..sources.ratings import ratings_behaviour, read_ratings, write_ratings
 from ..sources.tables import interactions_from_events, interactions_from_orders, load
 from . import oracle as O
 from .fit import ALPHA, LAMBDA, BPRConfig, fit, trace_fit
@@ -35,15 +35,32 @@ P = 10
 SEED = 7
 SPU = 100
 FIT_ITERATIONS = 2
+FIT_K = 3       # the training checks' factor length and draws per user: their SQL runs every step in order
+FIT_SPU = 20
 DIGITS = 6
 
 _DATA: dict = {}
 
 
+COARSE = 4      # item groups of the coarse events source, in which many users have seen every item
+
+
 def _interactions(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     if source == "orders":
         return interactions_from_orders(spark, sf_dir)
-    return interactions_from_events(spark, sf_dir)
+    events = interactions_from_events(spark, sf_dir)
+    if source == "coarse":
+        # users of odd id keep to two item groups, the others soon see all of them
+        group = F.pmod(F.col("item_id"), F.when(F.col("user_id") % 2 == 1, 2).otherwise(COARSE))
+        return events.select("user_id", group.cast("bigint").alias("item_id"))
+    return events
+
+
+def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item ids besides the seen ones: a negative and a far one for every event type, and the seen ones again."""
+    events = load(spark, sf_dir, "events")
+    unseen = events.select(F.explode(F.array(-F.length("event_type"), 1000 + F.length("event_type"))).alias("item_id"))
+    return unseen.unionByName(interactions_from_events(spark, sf_dir).select("item_id"))
 
 
 def training_data(spark: SparkSession, sf_dir: str, source: str = "orders",
@@ -51,7 +68,8 @@ def training_data(spark: SparkSession, sf_dir: str, source: str = "orders",
     """Prepared tables, built once per application and input."""
     key = (spark.sparkContext.applicationId, sf_dir, source, num_shards)
     if key not in _DATA:
-        _DATA[key] = prepare(_interactions(spark, sf_dir, source), num_shards)
+        catalogue = _catalogue(spark, sf_dir) if source == "catalogue" else None
+        _DATA[key] = prepare(_interactions(spark, sf_dir, source), num_shards, catalogue=catalogue)
     return _DATA[key]
 
 
@@ -202,29 +220,41 @@ def score_pairs_init(spark, sf_dir):
     return scored.select("user_id", "item_id", _r("score").alias("score"))
 
 
-def _fit_scores(spark, sf_dir, strategy, sampling="uniform_user"):
-    data = training_data(spark, sf_dir)
-    model = fit(None, BPRConfig(k=K, iterations=FIT_ITERATIONS, num_shards=P, samples_per_user=SPU,
+def _long(df: DataFrame, *keep: str) -> DataFrame:
+    """(…, kind, idx, dim, value), one row per factor value."""
+    return (df.select(*keep, "kind", "idx", F.posexplode("factors").alias("dim", "value"))
+            .select(*keep, "kind", "idx", F.col("dim").cast("bigint").alias("dim"), _r("value").alias("value")))
+
+
+def _fit_factors(spark, sf_dir, strategy, sampling="uniform_user"):
+    """The factors after two iterations over all events."""
+    data = training_data(spark, sf_dir, "events")
+    model = fit(None, BPRConfig(k=FIT_K, iterations=FIT_ITERATIONS, num_shards=P, samples_per_user=FIT_SPU,
                                 seed=SEED, strategy=strategy, sampling=sampling), data=data)
-    pairs = interactions_from_orders(spark, sf_dir).distinct()
-    return model.score(pairs).select("user_id", "item_id", _r("score").alias("score"))
+    users = model.user_factors.select(F.lit("user").alias("kind"), F.col("user_idx").alias("idx"), "factors")
+    items = model.item_factors.select(F.lit("item").alias("kind"), F.col("item_idx").alias("idx"), "factors")
+    return _long(users.unionByName(items))
 
 
 def fit_user_sharded(spark, sf_dir):
-    return _fit_scores(spark, sf_dir, "user_sharded")
+    return _fit_factors(spark, sf_dir, "user_sharded")
 
 
 def fit_full_average(spark, sf_dir):
-    return _fit_scores(spark, sf_dir, "full_average")
+    return _fit_factors(spark, sf_dir, "full_average")
 
 
 def fit_per_positive(spark, sf_dir):
-    return _fit_scores(spark, sf_dir, "user_sharded", sampling="per_positive")
+    return _fit_factors(spark, sf_dir, "user_sharded", sampling="per_positive")
+
+
+def _trace_config() -> BPRConfig:
+    return BPRConfig(k=FIT_K, iterations=1, num_shards=2, strategy="full_average", sampling="per_positive",
+                     negatives=1, seed=SEED)
 
 
-def _trace_model(spark, sf_dir):
-    data = training_data(spark, sf_dir, num_shards=2)
-    return trace_fit(None, data=data)
+def _trace_model(spark, sf_dir, source="events"):
+    return trace_fit(None, _trace_config(), data=training_data(spark, sf_dir, source, num_shards=2))
 
 
 def trace_fit_q(spark, sf_dir):
@@ -234,10 +264,30 @@ def trace_fit_q(spark, sf_dir):
 
 
 def factor_snapshots(spark, sf_dir):
-    s = _trace_model(spark, sf_dir).snapshots
-    return (s.select("phase", "iteration", "kind", "idx", F.posexplode("factors").alias("dim", "value"))
-            .select("phase", "iteration", "kind", "idx", F.col("dim").cast("bigint").alias("dim"),
-                    _r("value").alias("value")))
+    return _long(_trace_model(spark, sf_dir).snapshots, "phase", "iteration")
+
+
+def trace_audit_orders(spark, sf_dir):
+    """One row over a traced run on all orders: steps, and how many of them are wrong.
+
+    A step is wrong if its margin or weight is not that of the vectors it
+    started from, or if a vector is not what the row's previous step in the
+    shard left.
+    """
+    model = _trace_model(spark, sf_dir, "orders")
+    t = model.trace
+    margin = dot("user_before", "pos_before", FIT_K) - dot("user_before", "neg_before", FIT_K)
+    off = ((F.abs(F.col("x_uij") - margin) > 1e-9)
+           | (F.abs(F.col("weight") - 1 / (1 + F.exp(margin))) > 1e-9))
+    rows = t.select("shard", "step", F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(idx).alias("idx"), F.col(f"{name}_before").alias("before"),
+                 F.col(f"{name}_after").alias("after"))
+        for kind, idx, name in (("user", "user_idx", "user"), ("item", "pos_idx", "pos"), ("item", "neg_idx", "neg"))
+    ])).alias("r")).select("shard", "step", "r.*")
+    w = Window.partitionBy("shard", "kind", "idx").orderBy("step")
+    broken = rows.withColumn("_was", F.lag("after").over(w)).where("_was IS NOT NULL AND _was != before")
+    return (t.agg(F.count(F.lit(1)).alias("n_steps"), F.count_if(off).alias("n_wrong_margins"))
+            .crossJoin(broken.agg(F.count(F.lit(1)).alias("n_broken_chains"))))
 
 
 def read_ratings_roundtrip(spark, sf_dir):
@@ -246,6 +296,99 @@ def read_ratings_roundtrip(spark, sf_dir):
     return read_ratings(spark, path, strict=True)
 
 
+def sample_negatives_3(spark, sf_dir):
+    """Three negatives for every event."""
+    return sample_pairs(training_data(spark, sf_dir, "events"), 1, SEED, mode="per_positive", negatives=3)
+
+
+def saturated_users(spark, sf_dir):
+    """Users of the coarse source: those who have seen every item are not eligible."""
+    return training_data(spark, sf_dir, "coarse").users.select("user_idx", "shard", "n_items", "eligible", "erank")
+
+
+def sample_saturated(spark, sf_dir):
+    """Draws over the coarse source: none falls on a saturated user."""
+    return sample_pairs(training_data(spark, sf_dir, "coarse"), 1, SEED, samples_per_user=SPU)
+
+
+def catalogue_items(spark, sf_dir):
+    return training_data(spark, sf_dir, "catalogue").item_index
+
+
+def sample_catalogue(spark, sf_dir):
+    """Draws whose negatives include catalogue items nobody has seen."""
+    return sample_pairs(training_data(spark, sf_dir, "catalogue"), 1, SEED, samples_per_user=SPU)
+
+
+def score_unknown_ids(spark, sf_dir):
+    """Every event's pair with its ids shifted, so that some users or items are unknown (NULL score)."""
+    data = training_data(spark, sf_dir, "events")
+    users, items = _init(data)
+    pairs = interactions_from_events(spark, sf_dir).distinct().select(
+        (F.col("user_id") + 3).alias("user_id"), (F.col("item_id") - 2).alias("item_id"))
+    scored = score_pairs(pairs, data.user_index, data.item_index, users, items, k=K)
+    return scored.select("user_id", "item_id", _r("score").alias("score"))
+
+
+def ratings_scores(spark, sf_dir):
+    """Ratings text as behaviour rows with their constant score."""
+    path = scratch_path(spark, "ratings-scores")
+    write_ratings(interactions_from_orders(spark, sf_dir), path)
+    return ratings_behaviour(spark, path).select(
+        F.col("user_id").cast("bigint").alias("user_id"), F.col("item_id").cast("bigint").alias("item_id"), "bhv_amt")
+
+
+def _uneven_events(spark, sf_dir) -> DataFrame:
+    """Upload rows of all events with counts other than 1, missing and malformed ones."""
+    e = F.col("event_id")
+    count = (F.when(e % 11 == 0, "many").when(e % 13 == 0, "").when(e % 17 == 0, "null")
+             .otherwise((e % 7).cast("string")))
+    score = F.when(e % 19 == 0, "high").otherwise(F.round("value", 3).cast("string"))
+    return load(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("user_id"), F.get_json_object("props", "$.k").alias("item_id"),
+        F.col("event_type").alias("bhv_type"), score.alias("bhv_amt"), count.alias("bhv_cnt"),
+        F.lit("null").alias("content"), F.lit("null").alias("bhv_datetime"))
+
+
+def behaviour_counts(spark, sf_dir):
+    typed = normalise_behaviour(_uneven_events(spark, sf_dir))
+    return typed.groupBy("bhv_type", "bhv_cnt").agg(F.count(F.lit(1)).alias("n"), F.count("bhv_amt").alias("n_scores"))
+
+
+def behaviour_malformed(spark, sf_dir):
+    return malformed_behaviour(_uneven_events(spark, sf_dir))
+
+
+def behaviour_duplicates(spark, sf_dir):
+    """Whole-row dedup of rows without their score and time, so that many are equal."""
+    raw = _uneven_events(spark, sf_dir).withColumn("bhv_amt", F.lit("null"))
+    return distinct_behaviour(normalise_behaviour(raw)).select("user_id", "item_id", "bhv_type", "bhv_amt", "bhv_cnt")
+
+
+def write_factors_text(spark, sf_dir):
+    """User vectors written as text and read back."""
+    data = training_data(spark, sf_dir)
+    users, _ = _init(data)
+    path = scratch_path(spark, "user-factors-text")
+    write_factors(data.user_index.join(users, "user_idx").select("user_id", "factors"), path, key="user_id", fmt="text")
+    return (read_factors(spark, path, fmt="text").select("user_id", F.posexplode("factors").alias("dim", "value"))
+            .select("user_id", F.col("dim").cast("bigint").alias("dim"), _r("value").alias("value")))
+
+
+def write_factors_order(spark, sf_dir):
+    """The position of each user in the written files."""
+    data = training_data(spark, sf_dir)
+    users, _ = _init(data)
+    path = scratch_path(spark, "user-factors-order")
+    write_factors(data.user_index.join(users, "user_idx").select("user_id", "factors"), path, key="user_id")
+    rows = spark.read.parquet(path).select("user_id", F.col("_metadata.file_name").alias("file"),
+                                           F.col("_metadata.row_index").alias("row"))
+    files = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = files.select("file", F.coalesce(F.sum("n").over(  # one row per file
+        Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return rows.join(before, "file").select("user_id", (F.col("before") + F.col("row")).cast("bigint").alias("position"))
+
+
 def normalise_behaviour_q(spark, sf_dir):
     typed = normalise_behaviour(raw_behaviour_from_events(load(spark, sf_dir, "events")))
     return typed.withColumn("bhv_datetime", F.date_format("bhv_datetime", DATETIME_24H))
@@ -295,6 +438,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_per_positive": fit_per_positive,
     "trace_fit": trace_fit_q,
     "factor_snapshots": factor_snapshots,
+    "trace_audit_orders": trace_audit_orders,
+    "sample_negatives_3": sample_negatives_3,
+    "saturated_users": saturated_users,
+    "sample_saturated": sample_saturated,
+    "catalogue_items": catalogue_items,
+    "sample_catalogue": sample_catalogue,
+    "score_unknown_ids": score_unknown_ids,
+    "ratings_scores": ratings_scores,
+    "behaviour_counts": behaviour_counts,
+    "behaviour_malformed": behaviour_malformed,
+    "behaviour_duplicates": behaviour_duplicates,
+    "write_factors_text": write_factors_text,
+    "write_factors_order": write_factors_order,
     "read_ratings_roundtrip": read_ratings_roundtrip,
     "normalise_behaviour": normalise_behaviour_q,
     "behaviour_rows": behaviour_rows,
@@ -374,7 +530,64 @@ def oracle_sql() -> dict[str, str]:
                 "min(user_id) AS min_user_id, max(user_id) AS max_user_id, "
                 "min(item_id) AS min_item_id, max(item_id) AS max_item_id FROM inter")
 
+    coarse = (f"SELECT user_id, item_id % (CASE WHEN user_id % 2 = 1 THEN 2 ELSE {COARSE} END) AS item_id FROM ({events})")
+    catalogue = ("SELECT CAST(-length(event_type) AS BIGINT) AS item_id FROM events "
+                 "UNION ALL SELECT CAST(1000 + length(event_type) AS BIGINT) FROM events")
+    uneven = (
+        "SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS item_id, event_type AS bhv_type, "
+        "CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 OR event_id % 17 = 0 THEN 1 "
+        "ELSE event_id % 7 END AS bhv_cnt, CASE WHEN event_id % 19 <> 0 THEN value END AS score FROM events")
+
+    def fitted(strategy: str, mode: str = "uniform_user") -> str:
+        return O.fit_ctes(events, P, FIT_K, SEED, FIT_SPU, FIT_ITERATIONS, strategy, mode, ALPHA, LAMBDA) \
+            + O.factors_of(f"uf_{FIT_ITERATIONS}", f"vf_{FIT_ITERATIONS}")
+
+    traced = O.fit_ctes(events, 2, FIT_K, SEED, FIT_SPU, 1, "full_average", "per_positive", ALPHA, LAMBDA, keep_steps=True)
+
+    def phase(name: str, it: int) -> str:
+        return f"'{name}' AS phase, CAST({it} AS INTEGER) AS iteration, "
+
     return {
+        "sample_negatives_3": O.with_ctes(events, P, O.per_positive_samples_cte(P, 1, 3, SEED), O.negatives_cte(SEED))
+        + sample_cols,
+        "saturated_users": O.with_ctes(coarse, P) + "SELECT user_idx, shard, n_items, eligible, erank FROM users",
+        "sample_saturated": O.with_ctes(coarse, P, O.uniform_user_samples_cte(SEED, 1, SPU), O.negatives_cte(SEED))
+        + sample_cols,
+        "catalogue_items": O.with_ctes(events, P, catalogue=catalogue) + "SELECT item_id, item_idx FROM items",
+        "sample_catalogue": O.with_ctes(events, P, O.uniform_user_samples_cte(SEED, 1, SPU), O.negatives_cte(SEED),
+                                        catalogue=catalogue) + sample_cols,
+        "score_unknown_ids": O.with_ctes(events, P, *_factor_ctes()) + (
+            ", dp AS (SELECT DISTINCT user_id + 3 AS user_id, item_id - 2 AS item_id FROM inter) "
+            "SELECT dp.user_id, dp.item_id, round(sum(u.v * i.v), 6) + 0.0 AS score FROM dp "
+            "LEFT JOIN (SELECT DISTINCT user_id, user_idx FROM seen) su ON su.user_id = dp.user_id "
+            "LEFT JOIN (SELECT DISTINCT item_id, item_idx FROM seen) si ON si.item_id = dp.item_id "
+            "LEFT JOIN uf u ON u.idx = su.user_idx LEFT JOIN vf i ON i.idx = si.item_idx AND i.dim = u.dim "
+            "GROUP BY dp.user_id, dp.item_id"),
+        "ratings_scores": f"SELECT user_id, item_id, '1' AS bhv_amt FROM ({orders})",
+        "behaviour_counts": (
+            f"SELECT bhv_type, bhv_cnt, CAST(count(*) AS BIGINT) AS n, CAST(count(score) AS BIGINT) AS n_scores "
+            f"FROM ({uneven}) GROUP BY 1, 2"),
+        "behaviour_malformed": (
+            "SELECT CAST(count(*) FILTER (WHERE event_id % 19 = 0) AS BIGINT) AS bhv_amt, "
+            "CAST(count(*) FILTER (WHERE event_id % 11 = 0) AS BIGINT) AS bhv_cnt, CAST(0 AS BIGINT) AS bhv_datetime FROM events"),
+        "behaviour_duplicates": f"SELECT DISTINCT user_id, item_id, bhv_type, CAST(NULL AS DOUBLE) AS bhv_amt, bhv_cnt FROM ({uneven})",
+        "write_factors_text": base_f + (
+            "SELECT su.user_id, uf.dim, round(uf.v, 6) + 0.0 AS value FROM uf "
+            "JOIN (SELECT DISTINCT user_id, user_idx FROM seen) su ON su.user_idx = uf.idx"),
+        "write_factors_order": base + "SELECT DISTINCT user_id, user_idx - 1 AS position FROM seen",
+        "fit_user_sharded": fitted("user_sharded"),
+        "fit_full_average": fitted("full_average"),
+        "fit_per_positive": fitted("user_sharded", "per_positive"),
+        "trace_fit": traced + (
+            "SELECT CAST(1 AS INTEGER) AS iteration, r.shard, s.draw_no, r.n - 1 AS step, s.user_idx, s.b AS pos_idx, "
+            "s.c AS neg_idx, round(r.x, 6) + 0.0 AS x_uij, round(r.w, 6) + 0.0 AS weight "
+            "FROM run_1 r JOIN steps_1 s ON s.shard = r.shard AND s.n = r.n"),
+        "factor_snapshots": traced + " UNION ALL ".join([
+            O.factors_of("uf_0", "vf_0", phase("init", 0)), O.factors_of("uf_1", "vf_1", phase("mean", 1)),
+            O.factors_of("uf_1", "vf_1", phase("sum", 1), " * 2")]),
+        "trace_audit_orders": O.with_ctes(orders, 2) + (
+            "SELECT CAST(sum(copies) AS BIGINT) AS n_steps, CAST(0 AS BIGINT) AS n_wrong_margins, "
+            "CAST(0 AS BIGINT) AS n_broken_chains FROM seen WHERE n_items < (SELECT n FROM nitems)"),
         "interactions_orders": orders,
         "interactions_events": events,
         "interaction_stats_events": stats(events),
@@ -382,13 +595,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS item_id, "
             "event_type AS bhv_type, value AS bhv_amt, CAST(1 AS BIGINT) AS bhv_cnt, "
             "CAST(NULL AS VARCHAR) AS content, strftime(ts, '%Y-%m-%d %H:%M:%S') AS bhv_datetime FROM events"),
-        "interaction_stats": (
-            f"WITH inter AS ({orders}) SELECT CAST(count(*) AS BIGINT) AS n_rows, "
-            "(SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT user_id, item_id FROM inter)) AS n_pairs, "
-            "CAST(count(DISTINCT user_id) AS BIGINT) AS n_users, "
-            "CAST(count(DISTINCT item_id) AS BIGINT) AS n_items, "
-            "min(user_id) AS min_user_id, max(user_id) AS max_user_id, "
-            "min(item_id) AS min_item_id, max(item_id) AS max_item_id FROM inter"),
+        "interaction_stats": stats(orders),
         "user_index": base + "SELECT DISTINCT user_id, user_idx FROM seen",
         "item_index": base + "SELECT DISTINCT item_id, item_idx FROM seen",
         "user_items": base + (f"SELECT user_idx, CAST(user_idx % {P} AS INTEGER) AS shard, item_rank, "
