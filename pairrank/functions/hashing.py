@@ -8,7 +8,7 @@ Fixed values (part of the output contract, shared with the SQL oracle):
   key string   concat_ws('|', seed, purpose, key1, key2, ...)
   digest       md5 of the key string, lower-case hex
   52-bit draw  the first 13 hex digits read as an unsigned integer
-  2nd draw     hex digits 14 to 26 (used by the Gaussian)
+  2nd draw     hex digits 14 to 26 (the Gaussian's and a draw's second number)
   2**52        4503599627370496
 """
 
@@ -37,6 +37,12 @@ def hash52(seed: int, purpose: str, *keys: Column | str) -> Column:
     return _hex52(F.md5(_key(seed, purpose, *keys)), 1)
 
 
+def hash52_pair(seed: int, purpose: str, *keys: Column | str) -> tuple[Column, Column]:
+    """Two independent uniform integers in [0, 2**52) from one digest."""
+    digest = F.md5(_key(seed, purpose, *keys))
+    return _hex52(digest, 1), _hex52(digest, 14)
+
+
 def uniform_below(n: Column | str, seed: int, purpose: str, *keys: Column | str) -> Column:
     """Uniform integer in [0, n) (n > 0); the modulo bias is below n / 2**52."""
     n = F.col(n) if isinstance(n, str) else n

@@ -15,7 +15,8 @@ Two modes:
 
 In both, the negative is uniform over the items the user has not seen.  The
 first candidate ``1 + h mod N`` is kept when unseen (one equi-join against
-the seen pairs); a rejected draw is resolved exactly by unranking a fresh
+the seen pairs); a rejected draw takes the first unseen of ``REDRAWS`` further
+candidates; what is still left is resolved exactly by unranking a fresh
 ``r`` in ``[0, N - n_items)`` to the r-th unseen item, so every draw ends and
 the result is exactly uniform.  Draw numbers are dense per shard and every
 random choice hashes (seed, purpose, iteration, shard, draw_no).
@@ -32,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import uniform_below
+from ..functions.hashing import hash52_pair, uniform_below
 from ..session import intermediate_tables, materialise
 from .interactions import TrainingData
 from .ranking import rank_within
@@ -40,8 +41,7 @@ from .ranking import rank_within
 SAMPLE_COLUMNS = ["iteration", "shard", "draw_no", "user_idx", "pos_idx", "neg_idx"]
 
 
-def _draw_keys(seed: int, purpose: str):
-    return (seed, purpose, "iteration", "shard", "draw_no")
+_DRAW = ("iteration", "shard", "draw_no")
 
 
 def uniform_user_draws(data: TrainingData, iteration: int, seed: int,
@@ -53,11 +53,13 @@ def uniform_user_draws(data: TrainingData, iteration: int, seed: int,
         .select("shard", (F.col("urank") * F.lit(samples_per_user) + F.col("_j")).alias("draw_no")))
     # one row per shard: bounded by the configured shard count
     stats = F.broadcast(data.shard_stats.where("n_eligible > 0").select("shard", "n_eligible"))
-    draws = (per_shard_draws.join(stats, "shard")
-             .withColumn("iteration", F.lit(iteration))
-             .withColumn("erank", uniform_below("n_eligible", *_draw_keys(seed, "user"))))
+    draws = per_shard_draws.join(stats, "shard").withColumn("iteration", F.lit(iteration))
+    # one digest gives the user's and the positive's number
+    first, second = hash52_pair(seed, "draw", "iteration", "shard", "draw_no")
+    draws = draws.select("iteration", "shard", "draw_no", F.pmod(first, F.col("n_eligible")).alias("erank"),
+                         second.alias("_second"))
     draws = (draws.join(data.eligible.select("shard", "erank", "user_idx", "n_items"), ["shard", "erank"])
-             .withColumn("item_rank", uniform_below("n_items", *_draw_keys(seed, "pos"))))
+             .withColumn("item_rank", F.pmod(F.col("_second"), F.col("n_items"))))
     positives = data.seen.select("user_idx", "item_rank", F.col("item_idx").alias("pos_idx"))
     return (draws.join(positives, ["user_idx", "item_rank"])
             .select("iteration", "shard", "draw_no", "user_idx", "n_items", "pos_idx"))
@@ -156,6 +158,10 @@ def unrank_unseen(draws: DataFrame, seen: DataFrame, num_items: int, r_col: str
     return counted.withColumn(out_col, (F.col(r_col) + 1 + F.col("_below")).cast("bigint")).drop("_below")
 
 
+# Candidates a rejected draw tries before it is unranked.
+REDRAWS = 8
+
+
 def attach_negatives(draws: DataFrame, data: TrainingData, seed: int,
                      workdir: str | None = None) -> DataFrame:
     """Add ``neg_idx``, uniform over the items the draw's user has not seen.
@@ -163,20 +169,27 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int,
     ``workdir``: folder for the intermediate table (default: a new scratch path).
     """
     n = data.num_items
-    cand = (uniform_below(F.lit(n), *_draw_keys(seed, "cand")) + 1).cast("bigint")
-    seen_pairs = data.seen.select("user_idx", F.col("item_idx").alias("_cand"), F.lit(True).alias("_hit"))
-    # read three times below (accepted, rejected, their users): written once
-    tried = (draws.withColumn("_cand", cand)
-             .join(seen_pairs, ["user_idx", "_cand"], "left")
+    first, second = hash52_pair(seed, "cand", *_DRAW)
+    pairs = data.seen.select("user_idx", F.col("item_idx").alias("_cand"), F.lit(True).alias("_hit"))
+    # read twice below (accepted, rejected): written once
+    tried = (draws.withColumn("_cand", (F.pmod(first, F.lit(n)) + 1).cast("bigint")).withColumn("_second", second)
+             .join(pairs, ["user_idx", "_cand"], "left")
              .withColumn("neg_idx", F.when(F.col("_hit").isNull(), F.col("_cand")))
-             .drop("_cand", "_hit"))
+             .withColumn("r", F.when(F.col("_hit"), F.pmod(F.col("_second"), F.lit(n) - F.col("n_items"))))
+             .drop("_cand", "_hit", "_second"))
     tried = _save(tried, workdir, "tried-negatives")
-    accepted = tried.where(F.col("neg_idx").isNotNull())
-    rejected = (tried.where(F.col("neg_idx").isNull()).drop("neg_idx")
-                .withColumn("r", uniform_below(F.lit(n) - F.col("n_items"), *_draw_keys(seed, "neg"))))
-    resolved = _save(unrank_unseen(rejected, data.seen, n).drop("r"), workdir, "resolved-negatives")
-    # both parts are files: the result has no lineage to recompute
-    return accepted.unionByName(resolved)
+    accepted = tried.where(F.col("neg_idx").isNotNull()).drop("r")
+    rejected = tried.where(F.col("neg_idx").isNull()).drop("neg_idx")
+    again = (rejected.select(*_DRAW, "user_idx", F.explode(F.sequence(F.lit(1), F.lit(REDRAWS))).alias("_try"))
+             .withColumn("_cand", (uniform_below(F.lit(n), seed, "again", *_DRAW, "_try") + 1).cast("bigint"))
+             .join(pairs, ["user_idx", "_cand"], "left")
+             .groupBy(*_DRAW).agg(F.min(F.when(F.col("_hit").isNull(), F.struct("_try", "_cand"))).alias("_found")))
+    retried = _save(rejected.join(again, list(_DRAW)).withColumn("neg_idx", F.col("_found._cand")).drop("_found"),
+                    workdir, "retried-negatives")
+    resolved = _save(unrank_unseen(retried.where("neg_idx IS NULL").drop("neg_idx"), data.seen, n).drop("r"),
+                     workdir, "resolved-negatives")
+    # all parts are files: the result has no lineage to recompute
+    return (accepted.unionByName(retried.where("neg_idx IS NOT NULL").drop("r")).unionByName(resolved))
 
 
 def _save(df: DataFrame, workdir: str | None, name: str) -> DataFrame:

@@ -13,9 +13,9 @@ import math
 TWO52 = 4503599627370496
 
 
-def h52(seed: int, purpose: str, *parts: str) -> str:
+def h52(seed: int, purpose: str, *parts: str, digit: int = 1) -> str:
     keys = ", ".join([f"'{seed}'", f"'{purpose}'"] + [f"CAST({p} AS VARCHAR)" for p in parts])
-    return f"CAST('0x' || substr(md5(concat_ws('|', {keys})), 1, 13) AS BIGINT)"
+    return f"CAST('0x' || substr(md5(concat_ws('|', {keys})), {digit}, 13) AS BIGINT)"
 
 
 def gaussian(seed: int, purpose: str, *parts: str) -> str:
@@ -82,9 +82,9 @@ def uniform_user_samples_cte(seed: int, iteration: int, spu: int) -> str:
 draws AS (SELECT shard, urank * {spu} + unnest(range({spu})) AS draw_no FROM users),
 d1 AS (SELECT d.shard, d.draw_no, s.n_eligible FROM draws d JOIN shard_stats s ON s.shard = d.shard
        WHERE s.n_eligible > 0),
-d2 AS (SELECT shard, draw_no, {h52(seed, 'user', f"'{it}'", 'shard', 'draw_no')} % n_eligible AS erank FROM d1),
+d2 AS (SELECT shard, draw_no, {h52(seed, 'draw', f"'{it}'", 'shard', 'draw_no')} % n_eligible AS erank FROM d1),
 d3 AS (SELECT d2.shard, d2.draw_no, u.user_idx, u.n_items,
-              {h52(seed, 'pos', f"'{it}'", 'd2.shard', 'd2.draw_no')} % u.n_items AS item_rank
+              {h52(seed, 'draw', f"'{it}'", 'd2.shard', 'd2.draw_no', digit=14)} % u.n_items AS item_rank
        FROM d2 JOIN users u ON u.eligible AND u.shard = d2.shard AND u.erank = d2.erank),
 draws_pos AS (SELECT {iteration} AS iteration, d3.shard, d3.draw_no, d3.user_idx, d3.n_items,
                      s.item_idx AS pos_idx
@@ -103,24 +103,28 @@ draws_pos AS (SELECT {iteration} AS iteration, shard,
 
 def negatives_cte(seed: int) -> str:
     """samples(iteration, shard, draw_no, user_idx, pos_idx, neg_idx) from draws_pos."""
-    it = "iteration"
-    cand = f"1 + {h52(seed, 'cand', it, 'shard', 'draw_no')} % (SELECT n FROM nitems)"
-    r = f"{h52(seed, 'neg', it, 'shard', 'draw_no')} % ((SELECT n FROM nitems) - n_items)"
+    keys = ("iteration", "shard", "draw_no")
+    n = "(SELECT n FROM nitems)"
     return f"""
-dc AS (SELECT *, {cand} AS cand, {r} AS r FROM draws_pos),
-samples AS (SELECT CAST(iteration AS INTEGER) AS iteration, shard, draw_no, user_idx, pos_idx,
-                   CAST(CASE WHEN NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_idx = dc.user_idx
-                                                               AND s.item_idx = dc.cand)
-                        THEN cand
-                        ELSE r + 1 + (SELECT count(*) FROM seen s WHERE s.user_idx = dc.user_idx
-                                                                AND s.item_idx - 1 - s.item_rank <= dc.r)
+dc AS (SELECT *, 1 + {h52(seed, 'cand', *keys)} % {n} AS cand,
+              {h52(seed, 'cand', *keys, digit=14)} % ({n} - n_items) AS r FROM draws_pos),
+dh AS (SELECT dc.*, EXISTS (SELECT 1 FROM seen s WHERE s.user_idx = dc.user_idx AND s.item_idx = dc.cand) AS hit FROM dc),
+da AS (SELECT iteration, shard, draw_no, user_idx, t, 1 + {h52(seed, 'again', *keys, 't')} % {n} AS cand
+       FROM (SELECT *, unnest(range(1, 9)) AS t FROM dh WHERE hit)),
+db AS (SELECT iteration, shard, draw_no, min_by(cand, t) AS cand FROM da
+       WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.user_idx = da.user_idx AND s.item_idx = da.cand)
+       GROUP BY iteration, shard, draw_no),
+samples AS (SELECT CAST(dh.iteration AS INTEGER) AS iteration, dh.shard, dh.draw_no, dh.user_idx, dh.pos_idx,
+                   CAST(CASE WHEN NOT hit THEN dh.cand WHEN db.cand IS NOT NULL THEN db.cand
+                        ELSE r + 1 + (SELECT count(*) FROM seen s WHERE s.user_idx = dh.user_idx
+                                                                AND s.item_idx - 1 - s.item_rank <= dh.r)
                         END AS BIGINT) AS neg_idx
-            FROM dc)"""
+            FROM dh LEFT JOIN db ON db.iteration = dh.iteration AND db.shard = dh.shard AND db.draw_no = dh.draw_no)"""
 
 
 # --- training: the shards' sequential steps as a recursion over the step number ---------------
 
-_DRAW_NAMES = ("draws", "draws_pos", "d1", "d2", "d3", "dc", "pc", "pp", "samples")
+_DRAW_NAMES = ("draws", "draws_pos", "d1", "d2", "d3", "dc", "dh", "da", "db", "pc", "pp", "samples")
 
 
 def _sample_ctes(mode: str, seed: int, iteration: int, num_shards: int, spu: int) -> list[str]:
