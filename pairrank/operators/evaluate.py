@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_below
+from ..functions.vectors import pair_margin
+from .joins import spread_join
 from .sampling import unrank_unseen
 
 
@@ -26,8 +28,8 @@ def pairwise_auc(model, test: DataFrame, seed: int = 0) -> DataFrame:
     """One row: the share of (held-out positive, random unseen item) pairs that
     the model orders correctly (ties count half), and the number of pairs."""
     data = model.data
-    pos = (test.select("user_id", "item_id").distinct()
-           .join(data.user_index, "user_id").join(data.item_index, "item_id")
+    known = spread_join(test.select("user_id", "item_id").distinct(), data.user_index, "user_id")
+    pos = (spread_join(known, data.item_index, "item_id")
            .join(data.users.select("user_idx", "n_items"), "user_idx")
            .where(F.col("n_items") < F.lit(data.num_items)))
     draws = pos.withColumn("r", uniform_below(F.lit(data.num_items) - F.col("n_items"), seed, "auc",
@@ -37,8 +39,7 @@ def pairwise_auc(model, test: DataFrame, seed: int = 0) -> DataFrame:
     uf = model.user_factors.select("user_idx", F.col("factors").alias("u"))
     pf = model.item_factors.select(F.col("item_idx"), F.col("factors").alias("p"))
     nf = model.item_factors.select(F.col("item_idx").alias("neg_idx"), F.col("factors").alias("n"))
-    from ..functions.vectors import pair_margin
-    scored = (with_neg.join(uf, "user_idx").join(pf, "item_idx").join(nf, "neg_idx")
+    scored = (spread_join(spread_join(spread_join(with_neg, uf, "user_idx"), pf, "item_idx"), nf, "neg_idx")
               .select(pair_margin("u", "p", "n", model.config.k).alias("x")))
     return scored.agg(F.avg(F.when(F.col("x") > 0, 1.0).when(F.col("x") == 0, 0.5).otherwise(0.0)).alias("auc"),
                       F.count(F.lit(1)).alias("n_pairs"))

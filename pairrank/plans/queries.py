@@ -178,7 +178,7 @@ def pair_margins_q(spark, sf_dir):
 
 
 def pair_gradients_q(spark, sf_dir):
-    g = pair_gradients(_margins(spark, sf_dir), ALPHA, LAMBDA)
+    g = pair_gradients(_margins(spark, sf_dir), ALPHA, LAMBDA, K)
     z = F.arrays_zip(F.col("du").alias("du"), F.col("dp").alias("dp"), F.col("dn").alias("dn"))
     return (g.select("shard", "draw_no", F.posexplode(z).alias("dim", "d"))
             .select("shard", "draw_no", F.col("dim").cast("bigint").alias("dim"),
@@ -198,7 +198,7 @@ def merge_fixed_deltas(spark, sf_dir):
     data, samples = _samples(spark, sf_dir)
     users, items = _init(data)
     deltas = gradient_deltas(pair_gradients(pair_margins(attach_factors(samples, users, items), K),
-                                            ALPHA, LAMBDA))
+                                            ALPHA, LAMBDA, K), K)
     user_sum = sum_deltas(deltas.where("kind = 'user'").withColumnRenamed("idx", "user_idx"), K,
                           idx_col="user_idx")
     item_sum = sum_deltas(deltas.where("kind = 'item'").withColumnRenamed("idx", "item_idx"), K,
