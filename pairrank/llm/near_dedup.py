@@ -9,7 +9,9 @@ is opened level by level until it holds at most ``REGION`` classes, and all of
 those neighbours become candidates.  A region too large at some level also
 makes each member a candidate with its most central class (the one that shares
 most prefixes over the whole forest), so a large group of copies of one text is
-tied to that text without comparing its members with each other.
+tied to that text without comparing its members with each other.  In its last
+large region a class also meets three more central ones and the one of most
+copies, and, if no deeper region holds it, about ``MATES`` others.
 
 Candidates are confirmed on the full sets: first each class with its most
 central candidate, then every other candidate pair that these links do not
@@ -43,6 +45,7 @@ ORDERS = 16
 COORDINATES = 64
 LEVELS = (4, 6, 8, 11, 16, 24, 36, 64)
 REGION = 16
+MATES = 8
 PERCENT = 80
 
 _MULT, _ADD = (mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64)).reshape(2, COORDINATES, 1)
@@ -111,23 +114,31 @@ def _region(order, level):
 
 
 def _forest(nodes: DataFrame) -> DataFrame:
-    """(set_key, n, order, level, region, size, hub): regions of two or more classes."""
+    """(set_key, n, copies, order, level, region, size): regions of two or more classes."""
     t = F.col("order")
     rooted = (nodes.select("set_key", "n", "sig", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1))).alias("order"))
               .select("set_key", "order", _region(t, F.lit(LEVELS[0])).alias("region")))
     shared = rooted.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    live = rooted.join(shared, "region").select("set_key", "order").join(nodes.select("set_key", "n", "sig"), "set_key")
+    live = rooted.join(shared, "region").select("set_key", "order").join(nodes.select("set_key", "n", "copies", "sig"), "set_key")
     opened = (live.withColumn("level", F.explode(F.array(*map(F.lit, LEVELS))))
-              .select("set_key", "n", "order", "level", _region(t, F.col("level")).alias("region")))
+              .select("set_key", "n", "copies", "order", "level", _region(t, F.col("level")).alias("region")))
     sizes = opened.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return opened.join(sizes, "region").select("set_key", "n", "order", "level", "region", "size")
+    return opened.join(sizes, "region").select("set_key", "n", "copies", "order", "level", "region", "size")
+
+
+def _upward(pairs: DataFrame) -> DataFrame:
+    """(lo, hi) of pairs (x, y): the more central as ``hi``."""
+    up = F.col("y") > F.col("x")
+    return pairs.select(F.when(up, F.col("x")).otherwise(F.col("y")).alias("lo"),
+                        F.when(up, F.col("y")).otherwise(F.col("x")).alias("hi"))
 
 
 def _candidates(forest: DataFrame) -> DataFrame:
     """(lo, hi, hi_hub): pairs to confirm, the more central class as ``hi``."""
     central = forest.groupBy("set_key").agg(F.sum("size").alias("hub"))
     way = W.partitionBy("set_key", "order").orderBy("level")
-    rows = (forest.withColumn("_outer", F.lag("size").over(way)).join(central, "set_key")
+    rows = (forest.withColumn("_outer", F.lag("size").over(way)).withColumn("_inner", F.lead("size").over(way))
+            .join(central, "set_key")
             .withColumn("me", F.struct("hub", F.col("set_key").alias("key"), "n")))
     near = (rows.where((F.col("size") <= REGION) & (F.col("_outer").isNull() | (F.col("_outer") > REGION)))
             .groupBy("region").agg(F.array_sort(F.collect_list("me")).alias("all")))
@@ -136,8 +147,20 @@ def _candidates(forest: DataFrame) -> DataFrame:
     wide = rows.where(F.col("size") > REGION)
     middle = wide.groupBy("region").agg(F.max("me").alias("hi"))
     tied = wide.join(middle, "region").select("hi", F.col("me").alias("lo"))
+    # in its last large region a class also meets the most central of each third, and the one of most copies
+    last = wide.where(F.coalesce(F.col("_inner"), F.lit(0)) <= REGION)
+    third = F.pmod(F.xxhash64("set_key"), F.lit(3))
+    heads = (wide.groupBy("region", third.alias("third")).agg(F.max("me").alias("y")).drop("third")
+             .unionByName(wide.groupBy("region").agg(F.max(F.struct("copies", "me")).alias("_c"))
+                          .select("region", F.col("_c.me").alias("y"))).distinct())
+    heard = _upward(last.select("region", F.col("me").alias("x")).join(heads, "region"))
+    # a class that no deeper region holds meets about MATES members of the last large one
+    dealt = F.pmod(F.xxhash64("set_key", "region"), F.ceil(F.col("size") / MATES))
+    lone = wide.where(F.col("_inner").isNull() & (F.col("level") < LEVELS[-1]))
+    met = _upward(lone.select("region", dealt.alias("part"), F.col("me").alias("x"))
+                  .join(wide.select("region", dealt.alias("part"), F.col("me").alias("y")), ["region", "part"]))
     alike = F.least("lo.n", "hi.n") * 100 >= F.greatest("lo.n", "hi.n") * PERCENT
-    return (pairs.unionByName(tied).where(alike & (F.col("lo.key") != F.col("hi.key")))
+    return (pairs.unionByName(tied).unionByName(heard).unionByName(met).where(alike & (F.col("lo.key") != F.col("hi.key")))
             .groupBy(F.col("lo.key").alias("lo"), F.col("hi.key").alias("hi"))
             .agg(F.max("hi.hub").alias("hi_hub")))
 
@@ -157,7 +180,8 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     with intermediate_tables(docs.sparkSession) as keep:
         rows = materialise(_documents(docs, width), "near-rows")
         nodes = materialise(rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")), "near-classes")
+            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"),
+            F.first("sig").alias("sig")), "near-classes")
         pairs = materialise(_candidates(materialise(_forest(nodes), "near-forest")), "near-pairs")
         asked = pairs.select(F.col("lo").alias("set_key")).union(pairs.select("hi")).distinct()
         wanted = nodes.join(asked, "set_key", "left_semi").select(F.col("rep").alias("_rep"))
