@@ -303,7 +303,8 @@ def sample_negatives_3(spark, sf_dir):
 
 def saturated_users(spark, sf_dir):
     """Users of the coarse source: those who have seen every item are not eligible."""
-    return training_data(spark, sf_dir, "coarse").users.select("user_idx", "shard", "n_items", "eligible", "erank")
+    return training_data(spark, sf_dir, "coarse").users.select(
+        "user_idx", "shard", "n_items", "eligible", F.coalesce("erank", F.lit(-1)).alias("erank"))
 
 
 def sample_saturated(spark, sf_dir):
@@ -352,7 +353,7 @@ def _uneven_events(spark, sf_dir) -> DataFrame:
 
 def behaviour_counts(spark, sf_dir):
     typed = normalise_behaviour(_uneven_events(spark, sf_dir))
-    return typed.groupBy("bhv_type", "bhv_cnt").agg(F.count(F.lit(1)).alias("n"), F.count("bhv_amt").alias("n_scores"))
+    return typed.groupBy("bhv_type", F.coalesce("bhv_cnt", F.lit(-1)).alias("bhv_cnt")).agg(F.count(F.lit(1)).alias("n"), F.count("bhv_amt").alias("n_scores"))
 
 
 def behaviour_malformed(spark, sf_dir):
@@ -362,7 +363,8 @@ def behaviour_malformed(spark, sf_dir):
 def behaviour_duplicates(spark, sf_dir):
     """Whole-row dedup of rows without their score and time, so that many are equal."""
     raw = _uneven_events(spark, sf_dir).withColumn("bhv_amt", F.lit("null"))
-    return distinct_behaviour(normalise_behaviour(raw)).select("user_id", "item_id", "bhv_type", "bhv_amt", "bhv_cnt")
+    return distinct_behaviour(normalise_behaviour(raw)).select(
+        "user_id", "item_id", "bhv_type", F.coalesce("bhv_cnt", F.lit(-1)).alias("bhv_cnt"))
 
 
 def write_factors_text(spark, sf_dir):
@@ -550,7 +552,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "sample_negatives_3": O.with_ctes(events, P, O.per_positive_samples_cte(P, 1, 3, SEED), O.negatives_cte(SEED))
         + sample_cols,
-        "saturated_users": O.with_ctes(coarse, P) + "SELECT user_idx, shard, n_items, eligible, erank FROM users",
+        "saturated_users": O.with_ctes(coarse, P) + "SELECT user_idx, shard, n_items, eligible, coalesce(erank, -1) AS erank FROM users",
         "sample_saturated": O.with_ctes(coarse, P, O.uniform_user_samples_cte(SEED, 1, SPU), O.negatives_cte(SEED))
         + sample_cols,
         "catalogue_items": O.with_ctes(events, P, catalogue=catalogue) + "SELECT item_id, item_idx FROM items",
@@ -565,12 +567,12 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY dp.user_id, dp.item_id"),
         "ratings_scores": f"SELECT user_id, item_id, '1' AS bhv_amt FROM ({orders})",
         "behaviour_counts": (
-            f"SELECT bhv_type, bhv_cnt, CAST(count(*) AS BIGINT) AS n, CAST(count(score) AS BIGINT) AS n_scores "
+            f"SELECT bhv_type, coalesce(bhv_cnt, -1) AS bhv_cnt, CAST(count(*) AS BIGINT) AS n, CAST(count(score) AS BIGINT) AS n_scores "
             f"FROM ({uneven}) GROUP BY 1, 2"),
         "behaviour_malformed": (
             "SELECT CAST(count(*) FILTER (WHERE event_id % 19 = 0) AS BIGINT) AS bhv_amt, "
             "CAST(count(*) FILTER (WHERE event_id % 11 = 0) AS BIGINT) AS bhv_cnt, CAST(0 AS BIGINT) AS bhv_datetime FROM events"),
-        "behaviour_duplicates": f"SELECT DISTINCT user_id, item_id, bhv_type, CAST(NULL AS DOUBLE) AS bhv_amt, bhv_cnt FROM ({uneven})",
+        "behaviour_duplicates": f"SELECT DISTINCT user_id, item_id, bhv_type, coalesce(bhv_cnt, -1) AS bhv_cnt FROM ({uneven})",
         "write_factors_text": base_f + (
             "SELECT su.user_id, uf.dim, round(uf.v, 6) + 0.0 AS value FROM uf "
             "JOIN (SELECT DISTINCT user_id, user_idx FROM seen) su ON su.user_idx = uf.idx"),
