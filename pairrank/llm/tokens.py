@@ -80,42 +80,67 @@ class PieceEncoder:
         self.library = open_library(path)
         self.model = self.library.model
         self.kind = kind_of(self.library)
-        self.limit, self.known = limit, {}
+        self.limit, self.known, self.marks = limit, {}, {}
+        self.lead = " " if self.kind == "byte" else ""  # what stands before each remembered piece
         self.split = regex.compile(WORD_PATTERN if self.kind == "word" else BYTE_PATTERN)
-        self.hold = ["<|"] + [t.content for t in self.library.get_added_tokens_decoder().values()
-                                if "<|" not in t.content]
-
-    def pieces(self, text: str) -> list[str]:
-        if self.kind == "word":
-            return text.replace("\n", " ").split(" ")
-        if self.kind == "other":
-            return [text]
-        plain = text.split(" ")
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in plain):
-            return _BEFORE_SPACE.split(text)
-        return [plain[0], *[" " + p for p in plain[1:]]]
-
-    def _model_ids(self, part: str) -> bytes:
-        symbols = part.encode().decode("latin-1").translate(ALPHABET)
-        return array.array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+        self.hold = [t.content for t in self.library.get_added_tokens_decoder().values() if "<|" not in t.content]
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one pre-token."""
+        ids = self.known.get(part[len(self.lead):]) if part.startswith(self.lead) else self.marks.get(part)
+        if ids is None:
+            symbols = part.replace(" ", ALPHABET[32]) if part.isascii() else \
+                part.encode().decode("latin-1").translate(ALPHABET)
+            ids = array.array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+            if len(part) == 1 and not part.startswith(self.lead or "\0"):
+                self.marks[part] = ids
+        return ids
 
     def encode_piece(self, piece: str) -> bytes:
-        if self.kind == "other" or not _PLAIN.fullmatch(piece) or any(s in piece for s in self.hold):
+        if (self.kind == "other" or "<|" in piece or not _PLAIN.fullmatch(piece)
+                or self.hold and any(s in piece for s in self.hold)):
             return array.array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self._model_ids, self.split.findall(piece.lower() if self.kind == "word" else piece)))
+        if self.kind == "word":
+            piece = piece.lower()
+        if piece[len(self.lead):].isalpha():
+            return self._part(piece)
+        return b"".join(map(self._part, self.split.findall(piece)))
+
+    def _remember(self, piece: str) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = self.encode_piece(self.lead + piece)
+            if len(piece) <= 64:
+                if len(self.known) >= self.limit:
+                    self.known.clear()
+                self.known[piece] = ids
+        return ids
+
+    def _uneven(self, text: str) -> bytes:
+        """A byte-level text with runs of white space."""
+        return b"".join([self._remember(p[1:]) if p[0] == " " and len(p) > 1 and not (p[1].isspace() or p[-1].isspace())
+                         else self.encode_piece(p) for p in _BEFORE_SPACE.split(text)])
 
     def ids(self, text: str) -> bytes:
-        pieces, known = self.pieces(text), self.known
-        out = []
-        for p in pieces:
-            ids = known.get(p)
-            if ids is None:
-                ids = self.encode_piece(p) if p else b""
-                if len(p) <= 64:
-                    if len(known) >= self.limit:
-                        known.clear()
-                    known[p] = ids
-            out.append(ids)
+        if not text:
+            return b""
+        if self.kind == "other":
+            return self.encode_piece(text)
+        byte = self.kind == "byte"
+        pieces = (text if byte else text.replace("\n", " ")).split(" ")
+        out = list(map(self.known.get, pieces))
+        if byte:
+            first = pieces[0]
+            if not first or first[0].isspace() or first[-1].isspace():
+                return self._uneven(text)
+            out[0] = self.encode_piece(first)
+        if None in out:
+            for k, ids in enumerate(out):
+                if ids is None:
+                    piece = pieces[k]
+                    if byte and (not piece or piece[0].isspace() or piece[-1].isspace()):
+                        return self._uneven(text)
+                    out[k] = self._remember(piece) if piece else b""
         return b"".join(out)
 
 
