@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,15 +30,33 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+SLICE_BYTES = 2_000_000
+
+
+def _slices(batch: pa.RecordBatch, slice_rows: int) -> Iterator[pa.RecordBatch]:
+    """Parts of at most ``slice_rows`` rows and about ``SLICE_BYTES`` of text (or one longer row)."""
+    if "text" not in batch.schema.names:
+        for at in range(0, batch.num_rows, slice_rows):
+            yield batch.slice(at, slice_rows)
+        return
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0
+        end = min(at + slice_rows, max(at + 1, int(np.searchsorted(size, before + SLICE_BYTES, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable], slice_rows: int = 512) -> DataFrame:
-    """``mapInArrow`` with small slices: ``make()`` runs once per task and returns
-    a function from an Arrow batch of at most ``slice_rows`` rows to an Arrow
-    batch (or None).  Memory per task is bounded by one slice."""
+    """``mapInArrow`` over small slices: ``make()`` runs once per task and returns
+    a function from a slice to an Arrow batch (or None).  A task's memory is
+    bounded by one slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, slice_rows):
-                out = step(batch.slice(at, slice_rows))
+            for part in _slices(batch, slice_rows):
+                out = step(part)
                 if out is not None and out.num_rows:
                     yield out
     return df.mapInArrow(run, schema)
