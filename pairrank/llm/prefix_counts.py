@@ -19,8 +19,11 @@ special strings count as the one token the library makes of them.
 
 from __future__ import annotations
 
+import array
 import json
+import operator
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +37,9 @@ LIMIT = 2048
 
 
 class PrefixCounter:
-    """Token counts of all prefixes; ``limit`` bounds the remembered words."""
+    """Token counts of all prefixes; ``limit`` bounds the remembered pieces."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 400_000):
         import regex
         self.library = open_library(path)
         if kind_of(self.library) != "word":
@@ -45,14 +48,17 @@ class PrefixCounter:
         self.end = spec["model"]["end_of_word_suffix"] or ""
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.rank = {m: k for k, m in enumerate(merges)}
-        vocab = spec["model"]["vocab"]
-        self.open = {t for t in vocab if not t.endswith(self.end)}
-        self.closed = {t[:-len(self.end)] for t in vocab if t.endswith(self.end)}
-        self.longest = max(map(len, self.open | self.closed))
+        self.forms: dict[str, int] = {}  # token text -> 1: within a word, 2: at its end, 3: both
+        for t in spec["model"]["vocab"]:
+            ends = t.endswith(self.end)
+            t = t[:-len(self.end)] if ends else t
+            self.forms[t] = self.forms.get(t, 0) | (2 if ends else 1)
+        self.longest = max(map(len, self.forms))
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.split = regex.compile(WORD_PATTERN)
-        self.limit, self.known, self.pairs = limit, {}, {}
+        self.limit, self.pieces, self.chunks, self.pairs = limit, {}, {"": b""}, {}
+        self.path, self.last, self.count, self.closed = "", [""], [0], [0]
 
     def _merged(self, symbols: list[str]) -> list[str]:
         while len(symbols) > 1:
@@ -71,98 +77,132 @@ class PrefixCounter:
             symbols = out
         return symbols
 
-    def _fits(self, before: str, token: str, ends: bool) -> bool:
-        """Whether ``before`` then ``token`` is how BPE leaves their symbols."""
-        key = (before, token, ends)
-        if (fits := self.pairs.get(key)) is None:
-            symbols, mark = list(before + token), self.end if ends else ""
-            symbols[-1] += mark
-            fits = self._merged(symbols) == ([before] if before else []) + [token + mark]
-            if len(self.pairs) >= 2 * self.limit:
-                self.pairs.clear()
-            self.pairs[key] = fits
+    def _fits(self, before: str, token: str) -> int:
+        """In which forms BPE leaves ``before`` then ``token`` as these two (1, 2 or both)."""
+        head, fits = [before] if before else [], 0
+        for form, mark in ((1, ""), (2, self.end)):
+            if self.forms[token] & form:
+                symbols = list(before + token)
+                symbols[-1] += mark
+                if self._merged(symbols) == head + [token + mark]:
+                    fits |= form
+        if len(self.pairs) >= 4 * self.limit:
+            self.pairs.clear()
+        self.pairs[before, token] = fits
         return fits
 
-    def word_counts(self, symbols: str, stops: list[int]) -> list[int]:
-        """Token counts of the word's prefixes that end at ``stops`` (symbol positions)."""
-        n, longest, open_, closed, fits = len(symbols), self.longest, self.open, self.closed, self._fits
-        last, count, out, stop = [""] * (n + 1), [0] * (n + 1), [], set(stops)
-        for j in range(1, n + 1):
-            for at in range(max(0, j - longest), j):
+    def word_counts(self, symbols: str) -> list[int]:
+        """Token counts of the word's prefixes, one per symbol.  The table of the
+        previous word is kept up to the prefix the two share."""
+        path, last, count, closed = self.path, self.last, self.count, self.closed
+        shared = 0
+        for x, y in zip(path, symbols):
+            if x != y:
+                break
+            shared += 1
+        del last[shared + 1:], count[shared + 1:], closed[shared + 1:]
+        form_of, pair_of, longest = self.forms.get, self.pairs.get, self.longest
+        for j in range(shared + 1, len(symbols) + 1):
+            want = 3
+            open_at = end_at = 0
+            for at in range(j - longest if j > longest else 0, j):
                 token = symbols[at:j]
-                if token in open_ and fits(last[at], token, False):
-                    last[j], count[j] = token, count[at] + 1
-                    break
-            if j in stop:
-                for at in range(max(0, j - longest), j):
-                    token = symbols[at:j]
-                    if token in closed and fits(last[at], token, True):
-                        out.append(count[at] + 1)
-                        break
-        return out
+                form = form_of(token)
+                if form and form & want:
+                    before = last[at]
+                    fits = pair_of((before, token))
+                    if fits is None:
+                        fits = self._fits(before, token)
+                    fits &= want
+                    if fits:
+                        if fits & 1:
+                            open_at, open_token = at, token
+                        if fits & 2:
+                            end_at = at
+                        want &= ~fits
+                        if not want:
+                            break
+            last.append(open_token)
+            count.append(count[open_at] + 1)
+            closed.append(count[end_at] + 1)
+        self.path = symbols
+        return closed[1:]
 
     def _piece(self, piece: str) -> list[int]:
         """Counts at every code point of one pre-token."""
         if piece[0] == "'" and len(piece) > 1 and piece[1].isalpha():  # a contraction: its prefixes split otherwise
-            return [sum(self._piece(x)[-1] if len(x) == 1 else self.word_counts(x, [len(x)])[-1]
+            return [sum(self._piece(x)[-1] if len(x) == 1 else self.word_counts(x)[-1]
                         for x in self.split.findall(piece[:k])) for k in range(1, len(piece) + 1)]
         if piece.isascii():
-            return self.word_counts(piece.translate(ALPHABET), list(range(1, len(piece) + 1)))
-        stops, at = [], 0
+            return self.word_counts(piece)
+        every = self.word_counts(piece.encode().decode("latin-1").translate(ALPHABET))
+        out, at = [], -1
         for ch in piece:
             at += len(ch.encode())
-            stops.append(at)
-        return self.word_counts(piece.encode().decode("latin-1").translate(ALPHABET), stops)
-
-    def _run(self, run: str) -> list[int]:
-        """Counts at every code point of normalised text without special strings."""
-        if _PLAIN.fullmatch(run) and len(run.lower()) == len(run):
-            pieces = [(p, 0) for p in self.split.findall(run.lower())]
-        else:
-            run = self.library.normalizer.normalize_str(run)
-            spans = [s for _, s in self.library.pre_tokenizer.pre_tokenize_str(run)]
-            pieces, at = [], 0
-            for a, b in spans:
-                pieces.append((run[a:b], a - at))
-                at = b
-            pieces.append(("", len(run) - at))
-        out, base = [], 0
-        for piece, gap in pieces:
-            out += [base] * gap
-            if piece:
-                out += [base + c for c in self._piece(piece)]
-                base = out[-1]
+            out.append(every[at])
         return out
 
+    def _steps(self, piece: str) -> bytes:
+        """Differences of the counts at a pre-token's code points, 32-bit each."""
+        steps = self.pieces.get(piece)
+        if steps is None:
+            counts = self._piece(piece)
+            steps = array.array("i", map(operator.sub, counts, [0, *counts])).tobytes()
+            if len(piece) <= 64:
+                if len(self.pieces) >= self.limit:
+                    self.pieces.clear()
+                self.pieces[piece] = steps
+        return steps
+
+    def _split(self, run: str) -> list[tuple[str, int]]:
+        """Pre-tokens of text without special strings, each with the dropped characters before it."""
+        if _PLAIN.fullmatch(run):
+            low = run.lower()
+            if len(low) == len(run):
+                return [(low, 0)] if low.isalpha() else [(p, 0) for p in self.split.findall(low)]
+        run = self.library.normalizer.normalize_str(run)
+        out, at = [], 0
+        for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(run):
+            out.append((run[a:b], a - at))
+            at = b
+        return [*out, ("", len(run) - at)]
+
+    def _run(self, run: str) -> bytes:
+        return b"".join([b"\0\0\0\0" * gap + (self._steps(p) if p else b"") for p, gap in self._split(run)])
+
     def chunk(self, chunk: str) -> bytes:
-        """Differences of the counts at the chunk's code points, 32-bit each."""
-        out: list[int] = []
-        run, base = "", 0  # the ordinary text since the last special string, and the count before it
-        for part in self.cut.split(chunk) if "<" in chunk else [chunk]:
-            before = out[-1] if out else 0
+        """Differences of the counts at the code points of text between separators."""
+        if "<|" not in chunk:
+            return self._run(chunk)
+        out, run = [], ""  # run: the ordinary text since the last special string
+        for part in self.cut.split(chunk):
             if part in self.special:
                 # a cut special string is ordinary text and may join what stands before it
-                out += [base + c for c in self._run(run + part)[-len(part):-1]] + [before + 1]
-                run, base = "", before + 1
+                before = sum(array.array("i", self._run(run)))
+                cut = np.cumsum(np.frombuffer(self._run(run + part), "<i4"))[-len(part):-1]
+                out.append(np.diff(np.append(cut, before + 1), prepend=before).astype("<i4").tobytes())
+                run = ""
             elif part:
-                run, base = part, before
-                out += [base + c for c in self._run(part)]
-        return np.diff(np.array(out, np.int32), prepend=np.int32(0)).astype("<i4").tobytes()
+                run = part
+                out.append(self._run(part))
+        return b"".join(out)
 
-    def differences(self, text: str) -> np.ndarray:
+    def differences(self, texts: list[str]) -> Iterator[np.ndarray]:
         """By how much the count changes at each code point; the cumulative sum has
         the exact token count of every prefix."""
-        known, out = self.known, []
-        for c in text.replace("\n", " ").split(" "):
-            d = known.get(c)
-            if d is None:
-                d = self.chunk(c) if c else b""
-                if len(c) <= 64:
-                    if len(known) >= self.limit:
-                        known.clear()
-                    known[c] = d
-            out.append(d)
-        return np.frombuffer(b"\0\0\0\0".join(out), "<i4")
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        known = self.chunks
+        new = {c for chunks in cut for c in chunks if c not in known}
+        if len(known) + len(new) > self.limit:
+            known = self.chunks = {"": b""}
+            new = {c for chunks in cut for c in chunks if c}
+        # in order, so that neighbouring words share most of their tables
+        for piece in sorted({p for c in new if "<|" not in c and len(c) <= 64 for p, _ in self._split(c) if p}):
+            self._steps(piece)
+        for c in new:
+            known[c] = self.chunk(c)
+        for chunks in cut:
+            yield np.frombuffer(b"\0\0\0\0".join([known[c] for c in chunks]), "<i4")
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -194,8 +234,7 @@ def prefix_counts(docs: DataFrame, path: str, keep_prefixes: bool = True) -> Dat
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             n_tokens, packed = [], []
-            for text in batch.column("text").to_pylist():
-                d = count.differences(text)
+            for d in count.differences(batch.column("text").to_pylist()):
                 n_tokens.append(int(d.sum(dtype=np.int64)))
                 if keep_prefixes:
                     packed.append(pack(d))
