@@ -47,7 +47,8 @@ from .common import WordHashes, batch_of, mix64, parts_for, shuffle_parts, texts
 
 CUT = 5
 CHUNK_CHARS = 12_000_000
-BUCKET_ROWS = 3_000_000
+BUCKET_ROWS = 2_000_000
+FIXED_POINT = float(1 << 32)  # a document's gain in a bucket is kept to this fraction
 SPLIT = 1_000_000
 FOLDS, FOLD = 7, 2
 _END = 0x656E64206F662074  # the end token's hash: one more word
@@ -254,20 +255,23 @@ def _pair_rows(uni: Unigrams, word_buckets: int, buckets: int, starts: int):
 def _count_pairs(uni: Unigrams):
     """One bucket of bigrams: what each chunk's documents gain, and the parts of alpha."""
     def run(key, table):
-        own, out, parts = key[0].as_py(), [], []
+        own, out, parts, cells = key[0].as_py(), [], [], [[], [], [], [], []]
         for chunk, kind, body, stat in zip(*(table.column(c).to_pylist() for c in ("chunk", "kind", "body", "stat"))):
             if kind == "meta":
                 out.append(_row(own, chunk, kind, body))
-            else:
-                parts.append((chunk, stat[0], unpack(body)))
+                continue
+            h, *rest, n_docs_of, docs_of, times_of = unpack(body)
+            parts.append((chunk, stat[0], n_docs_of, docs_of, times_of))
+            for held, array in zip(cells, (np.cumsum(h, dtype=np.int64), *rest)):
+                held.append(array)
         if not parts:
             return _table(out)
-        h = np.concatenate([np.cumsum(p[0].astype(np.int64)) for _, _, p in parts])
-        w, train, h_count, w_count = (np.concatenate([p[k] for _, _, p in parts]).astype(np.int64) for k in (1, 2, 3, 4))
+        h, w, train, h_count, w_count = (np.concatenate(held) for held in cells)
+        cells.clear()
         order = np.lexsort((w, h))
         new = np.append(True, (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0))
         first = np.flatnonzero(new)
-        r_type = np.add.reduceat(train[order], first)
+        r_type = np.add.reduceat(train[order], first, dtype=np.int64)
         r = np.empty(len(order), np.int64)
         r[order] = np.repeat(r_type, np.diff(np.append(first, len(order))))
         lower = uni.probability(w_count)
@@ -275,15 +279,14 @@ def _count_pairs(uni: Unigrams):
         gain = np.where(seen, np.log10(np.maximum(r, 1)) - np.log10(h_count + 1.0), np.log10(lower))
         backs = ~seen & (h_count > 0)
         at = 0
-        for chunk, n_docs, p in parts:
-            cells = slice(at, at + len(p[1]))
-            at += len(p[1])
-            cell = np.repeat(np.arange(cells.start, cells.stop), p[5])
-            doc, times = p[6].astype(np.int64), p[7].astype(np.int64)
+        for chunk, n_docs, n_docs_of, docs_of, times_of in parts:
+            cell = np.repeat(np.arange(at, at + len(n_docs_of)), n_docs_of)
+            at += len(n_docs_of)
+            doc, times = docs_of.astype(np.int64), times_of.astype(np.int64)
             level = np.minimum(r[cell], CUT + 1)
             by = np.bincount(doc * (CUT + 2) + level, weights=times, minlength=n_docs * (CUT + 2)).reshape(n_docs, CUT + 2)
             out.append(_row(own, chunk, "gains", pack(
-                np.bincount(doc, weights=times * gain[cell], minlength=n_docs),
+                np.round(np.bincount(doc, weights=times * gain[cell], minlength=n_docs) * -FIXED_POINT).astype(np.int64),
                 by[:, 1:CUT + 1].astype(np.uint32).ravel())))
             need = backs[cell]
             if need.any():
@@ -323,7 +326,7 @@ def _document_rows(log_d: np.ndarray):
             else:
                 gains.append(unpack(body.as_py()))
         ids, null, held, size, known, base = meta
-        part = sum(g[0] for g in gains) + sum(g[1].reshape(len(ids), CUT).astype(float) for g in gains) @ log_d
+        part = sum(g[0] for g in gains) / -FIXED_POINT + sum(g[1].reshape(len(ids), CUT).astype(float) for g in gains) @ log_d
         n = len(ids)
         return pa.table({
             "chunk": pa.array([key[0].as_py()] * n, pa.int64()), "doc": pa.array(np.arange(n), pa.int64()),
