@@ -219,22 +219,27 @@ def _pair_rows(uni: Unigrams, word_buckets: int, buckets: int, starts: int):
         got = dict(zip(count_table.column("bucket").to_pylist(), count_table.column("body")))
         for b, at in _in_buckets(word % np.uint64(word_buckets)):
             number[at], count[at] = unpack(got[b].as_py())
-        doc = np.repeat(np.arange(len(size)), size)
-        place = place.astype(np.int64)
-        first = np.zeros(len(place), bool)
-        first[np.cumsum(size) - size] = True
-        context = np.where(first, 0, np.append(0, place[:-1] + 1))
-        known = count[place] > 0
-        gain = np.log10((count[place] + 1) / (uni.tokens + uni.types + 1))
-        meta = pack(ids, null, held, size, np.bincount(doc, weights=known, minlength=len(size)).astype(np.uint32),
-                    np.bincount(doc, weights=gain, minlength=len(size)))
-        rows = [_row(chunk % buckets, chunk, "meta", meta)]
-        # every (h, w, document) once, then every (h, w) once
-        pair, first_of, inverse = np.unique(context * len(word) + place, return_index=True, return_inverse=True)
-        use, times = np.unique(inverse * len(size) + doc, return_counts=True)
-        cell, where = use // len(size), use % len(size)
+        doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        known = np.bincount(doc, weights=count[place] > 0, minlength=len(size)).astype(np.uint32)
+        base = np.bincount(doc, weights=np.log10((count + 1) / (uni.tokens + uni.types + 1))[place], minlength=len(size))
+        rows = [_row(chunk % buckets, chunk, "meta", pack(ids, null, held, size, known, base))]
+        # by (h, w), documents in order within: every (h, w, document) once, every (h, w) once
+        pair = np.empty(len(place), np.int64)
+        pair[1:] = place[:-1]
+        pair += 1
+        pair[np.cumsum(size, dtype=np.int64) - size] = 0  # the start context
+        pair *= len(word)
+        pair += place
+        order = np.argsort(pair, kind="stable")
+        pair, doc = pair[order], doc[order]
+        del order
+        fresh = np.append(True, pair[1:] != pair[:-1])
+        use = np.flatnonzero(fresh | np.append(True, doc[1:] != doc[:-1]))
+        times, where, cell = np.diff(np.append(use, len(doc))), doc[use], (np.cumsum(fresh, dtype=np.int32) - 1)[use]
+        pair = pair[fresh]
+        del doc, fresh, use
         train = np.bincount(cell, weights=times * (held[where] == 0), minlength=len(pair)).astype(np.uint32)
-        h, w = context[first_of], place[first_of]
+        h, w = pair // len(word), pair % len(word)
         h_number, h_count = np.append(0, number)[h], np.append(starts, count)[h]
         salt = number[w] % (1 + h_count // SPLIT)
         bucket = mix64((h_number * 1_000_003 + salt).astype(np.uint64)) % np.uint64(buckets)
