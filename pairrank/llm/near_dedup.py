@@ -17,8 +17,16 @@ Candidates are confirmed on the full sets: first each class with its most
 central candidate, then every other candidate pair that these links do not
 already connect.  Components of confirmed links are found by star contraction.
 
+Two similar classes may share large regions only and meet nobody there.  So all
+classes of large regions are also joined exactly: a class lists the rarest fifth
+of its shingles (rare by a table of counts of fixed size, which only orders
+them), and two classes of different components are compared when their lists
+share a shingle early enough for the sizes to allow Jaccard 0.8, and the shared
+ones so far leave enough room for the rest.  No list is cut; long ones are dealt
+out in blocks, and the members of a list's largest component do not meet.
+
 At Jaccard 0.8 a pair shares depth 4 in at least one of 16 trees with
-probability 0.9998.
+probability 0.9998; a pair that does is found.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text with fewer words than a shingle is one
@@ -47,6 +55,8 @@ LEVELS = (4, 6, 8, 11, 16, 24, 36, 64)
 REGION = 16
 MATES = 8
 PERCENT = 80
+COUNTER_BITS, PAGE_BITS = 21, 16
+LIST_BLOCK = 1024
 
 _MULT, _ADD = (mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64)).reshape(2, COORDINATES, 1)
                | np.array([1, 0], np.uint64).reshape(2, 1, 1))
@@ -175,6 +185,99 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select(F.col("lo").alias("a"), F.col("hi").alias("b")))
 
 
+def _counted(sets: DataFrame) -> np.ndarray:
+    """How many sets have a shingle, by the leading ``COUNTER_BITS`` of its hash."""
+    size = 1 << PAGE_BITS
+
+    def count(batches):
+        seen = np.zeros(1 << COUNTER_BITS, np.uint32)
+        for batch in batches:
+            for s in batch.column("shingles"):
+                tokens = s.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                np.add.at(seen, (tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), 1)
+        for page in np.flatnonzero(seen.reshape(-1, size).any(axis=1)):
+            yield batch_of(page=pa.array([page], pa.int32()), counts=pa.array([seen[page * size:][:size].tobytes()], pa.binary()))
+
+    def add(batches):
+        pages: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for page, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                pages[page] = pages.get(page, 0) + np.frombuffer(counts, np.uint32)
+        for page, counts in pages.items():
+            yield batch_of(page=pa.array([page], pa.int32()), counts=pa.array([counts.tobytes()], pa.binary()))
+    pages = (sets.select("shingles").mapInArrow(count, "page int, counts binary")
+             .repartition(1 << (COUNTER_BITS - PAGE_BITS), "page").mapInArrow(add, "page int, counts binary"))
+    out = np.zeros(1 << COUNTER_BITS, np.uint32)
+    for row in pages.collect():  # at most 2 ** (COUNTER_BITS - PAGE_BITS) rows
+        out[row["page"] * size:][:size] = np.frombuffer(row["counts"], np.uint32)
+    return out
+
+
+def _lists(sets: DataFrame) -> DataFrame:
+    """(set_key, root, n, token, at): the first shingles of each set, rare ones first, with their places.
+
+    Sets of n and m shingles at Jaccard 0.8 have 4 (n + m) / 9 in common, so the
+    first common one is among the first n - ceil(0.8 n) + 1.  Shingles that no
+    other set has keep their places but are not listed.
+    """
+    sent = sets.sparkSession.sparkContext.broadcast(_counted(sets))
+
+    def make():
+        def step(batch):
+            tokens, places, rows, sizes = [], [], [], []
+            for s in batch.column("shingles"):
+                own = s.values.to_numpy(zero_copy_only=False)
+                uses = sent.value[(own.view(np.uint64) >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+                first = np.lexsort((own, uses))[:len(own) - (len(own) * PERCENT + 99) // 100 + 1]
+                at = np.flatnonzero(uses[first] > 1)
+                tokens.append(own[first[at]])
+                places.append(at)
+                rows.append(len(at))
+                sizes.append(len(own))
+            of = pa.array(np.repeat(np.arange(len(rows)), rows))
+            return batch_of(set_key=batch.column("set_key").take(of), root=batch.column("root").take(of),
+                            n=pa.array(sizes, pa.int32()).take(of), token=pa.array(np.concatenate(tokens), pa.int64()),
+                            at=pa.array(np.concatenate(places), pa.int32()))
+        return step
+    return map_rows(sets.select("set_key", "root", "shingles"),
+                    "set_key binary, root binary, n int, token bigint, at int", make, slice_rows=64)
+
+
+def _apart(sets: DataFrame) -> DataFrame:
+    """(lo, hi): every pair of the sets (set_key, root, shingles) with different roots that can be similar enough."""
+    lists = materialise(_lists(sets), "near-lists")
+    tops = (lists.groupBy("token", "root").agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy("token").agg(F.sum("_n").alias("_all"), F.max(F.struct("_n", "root")).alias("_top"))
+            .where("_all > _top._n")
+            .select("token", F.col("_top.root").alias("_main"), F.ceil(F.col("_all") / LIST_BLOCK).alias("_ys"),
+                    F.ceil((F.col("_all") - F.col("_top._n")) / LIST_BLOCK).alias("_xs")))
+    live = materialise(lists.join(tops, "token"), "near-live")
+    # those outside a list's largest component meet the whole list, block by block
+    own = F.xxhash64("set_key")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    cols = [F.col(c) for c in ("set_key", "root", "n", "at")]
+    x = live.where("root != _main").select("token", F.pmod(own, "_xs").alias("_i"), every("_ys").alias("_j"),
+                                           F.struct(*cols).alias("x"))
+    y = live.select("token", every("_xs").alias("_i"), F.pmod(own, "_ys").alias("_j"),
+                    (F.col("root") == F.col("_main")).alias("_in"), F.struct(*cols).alias("y"))
+
+    def common(a, b):
+        return F.floor((4 * (F.col(f"{a}.n") + F.col(f"{b}.n")) + 8) / 9)
+    met = x.join(y, ["token", "_i", "_j"]).where(
+        (F.col("x.root") != F.col("y.root")) & (F.col("_in") | (F.col("x.set_key") < F.col("y.set_key")))
+        & (F.col("x.n") - F.col("x.at") >= common("x", "y")) & (F.col("y.n") - F.col("y.at") >= common("x", "y")))
+    up = F.col("x.set_key") < F.col("y.set_key")
+    rest = F.least(F.col("lo.n") - F.col("_l"), F.col("hi.n") - F.col("_h")) - 1
+    return (met.select(F.when(up, F.col("x")).otherwise(F.col("y")).alias("p"),
+                       F.when(up, F.col("y")).otherwise(F.col("x")).alias("q"))
+            .groupBy(F.struct("p.set_key", "p.n").alias("lo"), F.struct("q.set_key", "q.n").alias("hi"))
+            .agg(F.count(F.lit(1)).alias("_shared"), F.max("p.at").alias("_l"), F.max("q.at").alias("_h"))
+            .where(F.col("_shared") + rest >= common("lo", "hi"))
+            .select(F.col("lo.set_key").alias("lo"), F.col("hi.set_key").alias("hi")))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     with intermediate_tables(docs.sparkSession) as keep:
@@ -182,8 +285,10 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
         nodes = materialise(rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
             F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"),
             F.first("sig").alias("sig")), "near-classes")
-        pairs = materialise(_candidates(materialise(_forest(nodes), "near-forest")), "near-pairs")
-        asked = pairs.select(F.col("lo").alias("set_key")).union(pairs.select("hi")).distinct()
+        forest = materialise(_forest(nodes), "near-forest")
+        pairs = materialise(_candidates(forest), "near-pairs")
+        wide = materialise(forest.where(F.col("size") > REGION).select("set_key").distinct(), "near-wide")
+        asked = pairs.select(F.col("lo").alias("set_key")).union(pairs.select("hi")).union(wide).distinct()
         wanted = nodes.join(asked, "set_key", "left_semi").select(F.col("rep").alias("_rep"))
         some = texts(docs)
         sets = materialise(_sets(some.join(wanted, F.col("doc_id") == F.col("_rep"), "left_semi"), width)
@@ -198,8 +303,14 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
                 .where(F.coalesce("_l", "lo") != F.coalesce("_h", "hi")))
         links = tied.union(_confirmed(left, sets))
         found = components(links)
-        named = nodes.select("set_key", "rep").join(found, F.col("set_key") == F.col("node"), "left").select(
-            "set_key", "rep", F.coalesce("root", "set_key").alias("root"))
+        named = materialise(nodes.select("set_key", "rep").join(found, F.col("set_key") == F.col("node"), "left").select(
+            "set_key", "rep", F.coalesce("root", "set_key").alias("root")), "near-named")
+        roots = named.select("set_key", "root")
+        apart = _apart(sets.join(wide, "set_key", "left_semi").join(roots, "set_key"))
+        more = (_confirmed(apart, sets).join(roots.toDF("a", "_a"), "a").join(roots.toDF("b", "_b"), "b")
+                .select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+        named = named.join(components(more).toDF("root", "_root"), "root", "left").select(
+            "set_key", "rep", F.coalesce("_root", "root").alias("root"))
         least = named.groupBy("root").agg(F.min("rep").alias("_least"))
         classes = named.join(least, "root").select("set_key", "_least")
         # copies of one text are many narrow rows on one side; AQE splits them

@@ -72,6 +72,24 @@ def test_large_groups_stay_whole(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"), 2)
 
 
+def test_pairs_that_share_large_regions_only(spark):
+    """A family of one template whose members are at 0.74 to each other, and planted pairs at 0.81 among them."""
+    rnd = random.Random(3)
+    word = [f"t{k}" for k in range(170)]
+    rows = []
+
+    def member(tag):
+        return word + [f"m{tag}x{j}" for j in range(30)]
+    for k in range(400):
+        rows.append((k, " ".join(member(k))))
+    for k in range(40):
+        text = member(k)
+        for at in rnd.sample(range(170, 200), 21):
+            text[at] = f"p{k}x{at}"
+        rows.append((1000 + k, " ".join(text)))
+    check(spark.createDataFrame(rows, "doc_id long, text string"), 1)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 200) if i % 50] + [(300, 299), (301, 299), (302, 301), (400, 400)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
