@@ -7,7 +7,10 @@ the plus sign or with a wrong check digit) is a candidate.  The words beside
 seeds and candidates are lexical patterns; a graph joins patterns with the
 values found beside them.  Rounds over that graph score a pattern by the mean
 score of its values and a value by the noisy-or of its trusted patterns; seeds
-stay at 1.  Values that reach ``ACCEPT`` add all their mentions as spans.
+stay at 1.  A pattern is trusted with ``SUPPORT`` values that are seeds or have
+reached ``ACCEPT``, so discovered values support new patterns.  Scores only
+rise, and rounds go on until none changes (to ``PLACES`` decimals).  Values that
+reach ``ACCEPT`` add all their mentions as spans.
 
 Everything is DataFrame operations.  A text is scanned once; after that only
 mentions move, folded to distinct (kind, pattern, value) before any join.
@@ -26,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import intermediate_tables, materialise
+from ..session import delete_path, intermediate_tables, materialise
 from .common import texts
 
 # Kinds in order, and their expressions.
@@ -44,10 +47,10 @@ MENTION = (rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0
            r"|(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])"
            r"|(?<![0-9])\+?+\(?+[0-9](?:[\x20().-]{0,2}+[0-9])++")
 
-ROUNDS = 3
 SUPPORT = 3
 TRUST = 0.7
 ACCEPT = 0.75
+PLACES = 6
 _BLOCK = 64
 _SPAN = "array<struct<kind:string,start:int,end:int>>"
 _MENTIONS = "array<struct<kind:string,start:int,end:int,value:string,patterns:array<string>>>"
@@ -158,20 +161,29 @@ def _graph(rows: DataFrame) -> DataFrame:
             .withColumn("score", F.col("seed").cast("double")))
 
 
-def accepted_values(rows: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _state(graph: DataFrame) -> tuple:
+    score = F.round("score", PLACES)
+    return tuple(graph.agg(F.count(F.lit(1)), F.sum(
+        F.xxhash64("kind", "value", "pattern", score).cast("decimal(38,0)"))).first())
+
+
+def accepted_values(rows: DataFrame) -> DataFrame:
     """(kind, value, score) of the values that trusted patterns discover."""
     graph = materialise(_graph(rows), "pii-graph")
-    for _ in range(rounds):
+    old, state = None, _state(graph)
+    while state != old:
         trusted = (graph.groupBy("kind", "pattern").agg(
-            F.sum("score").alias("_s"), F.count(F.lit(1)).alias("_n"), F.sum(F.col("seed").cast("int")).alias("_k"))
+            F.sum("score").alias("_s"), F.count(F.lit(1)).alias("_n"), F.sum((F.col("score") >= ACCEPT).cast("int")).alias("_k"))
             .where(F.col("_k") >= SUPPORT).select("kind", "pattern", (F.col("_s") / (F.col("_n") + 1)).alias("trust"))
             .where(F.col("trust") >= TRUST))
         told = (graph.where("NOT seed").join(trusted, ["kind", "pattern"]).groupBy("kind", "value")
                 .agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("_told")))
-        graph = materialise(
+        rescored = materialise(
             graph.join(told, ["kind", "value"], "left").withColumn(
                 "score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("_told", F.lit(0.0)))).drop("_told"),
             "pii-graph")
+        delete_path(graph.sparkSession, graph._scratch_path)
+        graph, old, state = rescored, state, _state(rescored)
     seeds = graph.where("seed").select("kind", "value")
     return (graph.where(F.col("score") >= ACCEPT).groupBy("kind", "value").agg(F.max("score").alias("score"))
             .join(seeds, ["kind", "value"], "left_anti"))

@@ -65,6 +65,18 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert all(got[k].n_added == 0 and got[k].spans for k in range(12))
 
 
+def test_discovered_values_support_new_contexts(spark):
+    """Numbers found beside seeds reveal a context without seeds, and that one a further number."""
+    rows = [(k, f"please call me at +1 (743) 555-{3800 + k} after noon") for k in range(60)]
+    for k in range(10):
+        rows += [(100 + k, f"please call me at 743 555 {9100 + k} after noon"),
+                 (200 + k, f"our fax line is 743 555 {9100 + k} since may")]
+    rows += [(300, "our fax line is 743 555 8888 since may"), (301, "then 743 555 8888 again")]
+    got = {r.doc_id: r.n_added for r in check(spark.createDataFrame(rows, "doc_id long, text string"))}
+    assert all(got[d + k] == 1 for d in (100, 200) for k in range(10))
+    assert got[300] == 1 and got[301] == 1
+
+
 def test_no_python_in_the_plan(spark, edge_docs):
     df = edge_docs.select(P.base_spans(edge_docs["text"]).alias("a"), P.mentions(edge_docs["text"]).alias("b"))
     plan = df._jdf.queryExecution().executedPlan().toString()
