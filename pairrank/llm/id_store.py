@@ -135,6 +135,17 @@ class Segment:
         return self.flat[self.bounds.select(i):self.bounds.select(i + 1)].astype("<u4")
 
 
+def segment_rows(image: bytes) -> dict[str, pa.Array]:
+    """The columns doc_id, _at, n_tokens and ids_crc32 of a segment's documents, by selection."""
+    s = Segment(image)
+    starts = [s.bounds.select(i) for i in range(s.n_docs + 1)]
+    return {"doc_id": pa.array([s.doc_id(i) for i in range(s.n_docs)], pa.int64()),
+            "_at": pa.array(starts[:-1], pa.int64()),
+            "n_tokens": pa.array([b - a for a, b in zip(starts[:-1], starts[1:])], pa.int64()),
+            "ids_crc32": pa.array([zlib.crc32(s.flat[a:b].astype("<u4").tobytes())
+                                   for a, b in zip(starts[:-1], starts[1:])], pa.int64())}
+
+
 _SEGMENTS = "part int, seq int, n_docs bigint, n_ids bigint, image binary"
 
 
@@ -186,16 +197,10 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                s = Segment(batch.column("image")[row].as_py())
-                bounds = s.bounds.all()
-                known = (s.docs.all() + s.first).tolist()
-                blobs = [s.flat[a:b].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-                n = s.n_docs
+                found = segment_rows(batch.column("image")[row].as_py())
+                n = len(found["doc_id"])
                 yield batch_of(part=pa.array([batch.column("part")[row].as_py()] * n, pa.int32()),
-                               seq=pa.array([batch.column("seq")[row].as_py()] * n, pa.int32()),
-                               doc_id=pa.array([None] * s.nulls + known, pa.int64()),
-                               _at=pa.array(bounds[:-1], pa.int64()), n_tokens=pa.array(np.diff(bounds), pa.int64()),
-                               ids_crc32=pa.array([zlib.crc32(b) for b in blobs], pa.int64()))
+                               seq=pa.array([batch.column("seq")[row].as_py()] * n, pa.int32()), **found)
     docs = segments.select("part", "seq", "image").mapInArrow(
         run, "part int, seq int, doc_id bigint, _at bigint, n_tokens bigint, ids_crc32 bigint")
     return docs.join(bases, ["part", "seq"]).select(

@@ -31,6 +31,17 @@ def test_segment_round_trip():
     assert [s.ids(i).tobytes() for i in range(3)] == ids
 
 
+def test_rows_are_selected(monkeypatch):
+    """The rows come from select(); no list is expanded whole."""
+    ids = [array.array("I", range(k)).tobytes() for k in range(1, 200)]
+    image = S.write_segment([None, *range(-5, 193)], ids)
+    monkeypatch.setattr(S.EliasFano, "all", None)
+    got = S.segment_rows(image)
+    assert got["doc_id"].to_pylist() == [None, *range(-5, 193)] and got["n_tokens"].to_pylist() == list(range(1, 200))
+    assert got["_at"].to_pylist() == [k * (k - 1) // 2 for k in range(1, 200)]
+    assert got["ids_crc32"].to_pylist() == [zlib.crc32(b) for b in ids]
+
+
 def check(spark, docs, path, **options):
     tok, at, want = Tokenizer.from_file(PATH), 0, []
     for d, t in sorted(pairs_of(docs), key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
