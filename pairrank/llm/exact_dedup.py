@@ -228,9 +228,24 @@ def exact_duplicates(docs: DataFrame, keys_per_shard: int = KEYS_PER_SHARD) -> D
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``exact_duplicates`` does not keep, all columns unchanged."""
-    gone = exact_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    """One row of ``docs`` for each group of copies, all columns unchanged.
+
+    A row goes by its own text, not by its doc_id: the row of ``keep_id`` with
+    the most code points stays, one of them if it repeats.
+    """
+    with intermediate_tables(docs.sparkSession) as keep:
+        groups = duplicate_groups(materialise(digests(docs), "dedup-digests"))
+        stay = materialise(groups.where("group_size > 1").select(
+            F.col("digest").alias("_digest"), F.col("n_cp").alias("_most"), F.col("keep_id").alias("_keep")), "dedup-stay")
+        keep.append(stay)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumn("_digest", F.unhex(F.sha2(F.regexp_replace(text, SPACES + "+", ""), 256)))
+    once = keyed.join(stay, "_digest", "left_anti")
+    # few rows of a group are left here, so that equal ones can be folded
+    again = (keyed.join(stay, "_digest").where((F.length(text) == F.col("_most"))
+                                               & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_keep")))
+             .dropDuplicates(["_digest"]))
+    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
 
 
 # --- the index as a table -------------------------------------------------------------------

@@ -84,7 +84,7 @@ def signature(shingles: np.ndarray) -> bytes:
 
 
 def _documents(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key, sig); key and signature are null for an empty set."""
+    """(doc_id, text_key, n_shingles, set_key, sig); key and signature are null for an empty set."""
     def make():
         known = WordHashes()
 
@@ -95,10 +95,10 @@ def _documents(docs: DataFrame, width: int) -> DataFrame:
                 n.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sigs.append(signature(s) if len(s) else None)
-            return batch_of(doc_id=batch.column("doc_id"), n_shingles=pa.array(n, pa.int64()),
+            return batch_of(doc_id=batch.column("doc_id"), text_key=batch.column("text_key"), n_shingles=pa.array(n, pa.int64()),
                             set_key=pa.array(keys, pa.binary()), sig=pa.array(sigs, pa.binary()))
         return step
-    return map_rows(texts(docs), "doc_id bigint, n_shingles bigint, set_key binary, sig binary", make)
+    return map_rows(texts(docs).withColumn("text_key", F.xxhash64("text")), "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, sig binary", make)
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -278,12 +278,14 @@ def _apart(sets: DataFrame) -> DataFrame:
             .select(F.col("lo.set_key").alias("lo"), F.col("hi.set_key").alias("hi")))
 
 
-def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+def _judged(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, text_key, stays) for every row of ``docs``;
+    ``stays`` marks one (doc_id, text) of each component."""
     with intermediate_tables(docs.sparkSession) as keep:
         rows = materialise(_documents(docs, width), "near-rows")
         nodes = materialise(rows.where("set_key IS NOT NULL").groupBy("set_key").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"),
+            F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("head"),
+            F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"),
             F.first("sig").alias("sig")), "near-classes")
         forest = materialise(_forest(nodes), "near-forest")
         pairs = materialise(_candidates(forest), "near-pairs")
@@ -303,26 +305,41 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
                 .where(F.coalesce("_l", "lo") != F.coalesce("_h", "hi")))
         links = tied.union(_confirmed(left, sets))
         found = components(links)
-        named = materialise(nodes.select("set_key", "rep").join(found, F.col("set_key") == F.col("node"), "left").select(
-            "set_key", "rep", F.coalesce("root", "set_key").alias("root")), "near-named")
+        named = materialise(nodes.select("set_key", "rep", "head").join(found, F.col("set_key") == F.col("node"), "left").select(
+            "set_key", "rep", "head", F.coalesce("root", "set_key").alias("root")), "near-named")
         roots = named.select("set_key", "root")
         apart = _apart(sets.join(wide, "set_key", "left_semi").join(roots, "set_key"))
         more = (_confirmed(apart, sets).join(roots.toDF("a", "_a"), "a").join(roots.toDF("b", "_b"), "b")
                 .select(F.col("_a").alias("a"), F.col("_b").alias("b")))
         named = named.join(components(more).toDF("root", "_root"), "root", "left").select(
-            "set_key", "rep", F.coalesce("_root", "root").alias("root"))
-        least = named.groupBy("root").agg(F.min("rep").alias("_least"))
-        classes = named.join(least, "root").select("set_key", "_least")
+            "set_key", "rep", "head", F.coalesce("_root", "root").alias("root"))
+        least = named.groupBy("root").agg(F.min("rep").alias("_least"), F.min("head").alias("_head"))
+        classes = named.join(least, "root").select("set_key", "_least", "_head")
+        component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("_least"))
         # copies of one text are many narrow rows on one side; AQE splits them
-        out = materialise(rows.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").select(
+        out = materialise(rows.select("doc_id", "text_key", "n_shingles", "set_key").join(classes, "set_key", "left").select(
             "doc_id", "n_shingles",
-            F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("_least")).alias("component_id")
-        ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near")
+            component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key",
+            (F.col("set_key").isNull() | (F.col("doc_id").eqNullSafe(F.col("_head.doc_id"))
+                                          & (F.col("text_key") == F.col("_head.text_key")))).alias("stays")), "near")
         keep.append(out)
     return out
 
 
+def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
+    return _judged(docs, width).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """``docs`` with one document of each component, all columns unchanged."""
-    gone = near_duplicates(docs, width).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["_gone"], "left_anti")
+    """``docs`` with one row of each component, all columns unchanged.
+
+    A row goes by its doc_id and own text; rows without words all stay.
+    """
+    rows = (_judged(docs, width).where("n_shingles > 0").groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.first("stays").alias("_stays")).where("_n > 1 OR NOT _stays"))
+    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_t"))
+    once = keyed.join(rows, same, "left_anti").select(*docs.columns)
+    again = keyed.join(rows.where("_stays"), same).dropDuplicates(["_d", "_t"]).select(*docs.columns)
+    return once.unionByName(again)

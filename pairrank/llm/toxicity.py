@@ -62,7 +62,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLE
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     pick = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
     # at most 2 x per_class rows of two numbers: small whatever the input
-    return texts(docs).join(F.broadcast(pick[0].unionByName(pick[1])), "doc_id"), totals
+    # rows that repeat a document and its text count once
+    return texts(docs).join(F.broadcast(pick[0].unionByName(pick[1])), "doc_id").dropDuplicates(["doc_id", "text"]), totals
 
 
 def _terms(text: str) -> list[str]:

@@ -77,3 +77,12 @@ def test_index_table(spark):
     asked = spark.createDataFrame([(bytearray(k),) for k in keys + _digests(50, 9)], "digest binary")
     live = {bytes(r.digest): r.live for r in X.probe_index(index, asked, shards=5).collect()}
     assert all(live[k] == (i == 0 or i >= 100) for i, k in enumerate(keys)) and sum(live.values()) == 301
+
+
+def test_dropping_goes_by_row(spark):
+    """Rows that repeat a doc_id go by their own texts; equal rows and null ids leave one."""
+    a, b, c, d = (" ".join(f"{k}{j}" for j in range(30)) for k in "abcd")
+    rows = [(8, a), (8, b), (3, b), (1, c), (1, c), (None, d), (None, d), (None, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in X.drop_duplicates(docs).collect()), key=repr)
+    assert got == sorted([(8, a), (3, b), (1, c), (None, d)], key=repr)

@@ -94,3 +94,12 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(0, 200) if i % 50] + [(300, 299), (301, 299), (302, 301), (400, 400)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: (i - 1) // 50 * 50 + 1 for i in range(1, 201) if i % 50 != 1} | {300: 299, 301: 299, 302: 299}
+
+
+def test_dropping_goes_by_row(spark):
+    """Rows that repeat a doc_id go by their own texts; equal rows and null ids leave one."""
+    a, b, c, d = (" ".join(f"{k}{j}" for j in range(30)) for k in "abcd")
+    rows = [(8, a), (8, b), (3, b), (1, c), (1, c), (None, d), (None, d), (None, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in N.drop_near_duplicates(docs).collect()), key=repr)
+    assert got == sorted([(8, a), (3, b), (1, c), (None, d)], key=repr)
