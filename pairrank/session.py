@@ -99,7 +99,7 @@ def intermediate_tables(spark: SparkSession):
     try:
         yield keep
     finally:
-        _SCOPES.remove(created)
+        _SCOPES.pop()  # scopes end in the reverse order of their beginning
         kept = {getattr(df, "_scratch_path", None) for df in keep}
         for path in created:
             if path not in kept:
