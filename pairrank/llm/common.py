@@ -75,6 +75,43 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """A worker's large table, kept between tasks until another key asks: a worker
+    that serves several operators in turn holds one of them at a time."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def text_key():
+    """A 64-bit key of a row's own text (null: empty); with the doc_id it names the row."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def without_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """``docs`` without the rows decided on, all columns unchanged.
+
+    ``decided`` is a stored table (doc_id, text_key, fold): rows of these keys go,
+    but with ``fold`` one of the rows that repeat the key stays.  The columns of
+    ``docs`` travel as one struct, so none can clash with a key.  Texts move once
+    at most; a second time only where repeated rows have to be folded and their
+    keys are too many to broadcast.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
+                       text_key().alias("text_key"))
+    theirs = decided.select(F.col("doc_id").alias("their_id"), F.col("text_key").alias("their_key"), "fold")
+    same = F.col("doc_id").eqNullSafe(F.col("their_id")) & (F.col("text_key") == F.col("their_key"))
+    out = rows.join(theirs, same, "left_anti").select("row.*")
+    fold = theirs.where("fold")
+    if fold.isEmpty():
+        return out
+    return out.unionByName(rows.join(fold, same).dropDuplicates(["doc_id", "text_key"]).select("row.*"))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (multiply and xor-shift), vectorised."""
     x = x.astype(np.uint64, copy=True)

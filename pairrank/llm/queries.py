@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
-from . import decontaminate, exact_dedup, id_store, katz, near_dedup, packing, pii, prefix_counts, toxicity, url_rules
+from . import (collocations, decontaminate, exact_dedup, id_store, katz, near_dedup, packing, pii, prefix_counts, quality_rules,
+               spelling, toxicity, url_rules)
 from .common import load
 
 
@@ -71,9 +72,25 @@ def op10_prefix_counts(spark, sf_dir):
     return counts.withColumn("over_limit", F.col("n_tokens") > prefix_counts.LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_pii, op3_near_dedup, op4_exact_dedup, op5_decontaminate,
-                                     op6_katz, op7_toxicity, op8_id_store, op9_url_rules, op10_prefix_counts)}
-ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op9_url_rules": url_rules.ORACLE}
+def op11_spelling(spark, sf_dir):
+    """Near words, forms and roots of all words of all documents."""
+    return spelling.spelling_variants(_documents(spark, sf_dir))
+
+
+def op12_collocations(spark, sf_dir):
+    """Each language's first 2000 collocations over all documents."""
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
+def op13_quality_rules(spark, sf_dir):
+    """All documents under the decision list learnt from the quality labels."""
+    return quality_rules.judge_documents(_documents(spark, sf_dir), load(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_pii, op3_near_dedup, op4_exact_dedup, op5_decontaminate, op6_katz,
+                                     op7_toxicity, op8_id_store, op9_url_rules, op10_prefix_counts, op11_spelling,
+                                     op12_collocations, op13_quality_rules)}
+ORACLES = {"op4_exact_dedup": exact_dedup.ORACLE, "op9_url_rules": url_rules.ORACLE, "op12_collocations": collocations.ORACLE}
 
 
 def queries() -> dict:

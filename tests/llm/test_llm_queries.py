@@ -9,7 +9,7 @@ from .conftest import SF
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in Q.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in Q.queries()}
     assert set(Q.queries()) | {"pipeline"} <= set(names) and set(Q.oracle_sql()) <= set(entry.oracle_sql())
 
 
@@ -31,6 +31,8 @@ def test_query_columns(spark):
         "op1_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
         "op8_id_store": ["doc_id", "start", "n_tokens", "ids_crc32"],
         "op10_prefix_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+        "op13_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                               "kept", "rule"],
     }
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name, columns in want.items():
