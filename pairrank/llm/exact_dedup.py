@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import intermediate_tables, materialise
-from .common import SPACES, batch_of, parts_for, shuffle_parts
+from .common import SPACES, batch_of, parts_for, shuffle_parts, text_key, without_rows
 
 SLOTS = 4
 KEYS_PER_SHARD = 200_000
@@ -153,12 +153,12 @@ class ShardIndex:
         return out
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest binary(32), n_cp) of every row, by built-in functions."""
+def digests(docs: DataFrame, *more) -> DataFrame:
+    """(doc_id, digest binary(32), n_cp, *more) of every row, by built-in functions."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.unhex(F.sha2(F.regexp_replace(text, SPACES + "+", ""), 256)).alias("digest"),
-                       F.length(text).cast("bigint").alias("n_cp"))
+                       F.length(text).cast("bigint").alias("n_cp"), *more)
 
 
 def _better(a, b):
@@ -231,21 +231,21 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each group of copies, all columns unchanged.
 
     A row goes by its own text, not by its doc_id: the row of ``keep_id`` with
-    the most code points stays, one of them if it repeats.
+    the most code points stays, one of them if it repeats (by the text's key).
     """
+    best = (F.col("n_cp") == F.col("most")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))
     with intermediate_tables(docs.sparkSession) as keep:
-        groups = duplicate_groups(materialise(digests(docs), "dedup-digests"))
-        stay = materialise(groups.where("group_size > 1").select(
-            F.col("digest").alias("_digest"), F.col("n_cp").alias("_most"), F.col("keep_id").alias("_keep")), "dedup-stay")
-        keep.append(stay)
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("_digest", F.unhex(F.sha2(F.regexp_replace(text, SPACES + "+", ""), 256)))
-    once = keyed.join(stay, "_digest", "left_anti")
-    # few rows of a group are left here, so that equal ones can be folded
-    again = (keyed.join(stay, "_digest").where((F.length(text) == F.col("_most"))
-                                               & F.col("doc_id").cast("bigint").eqNullSafe(F.col("_keep")))
-             .dropDuplicates(["_digest"]))
-    return once.select(*docs.columns).unionByName(again.select(*docs.columns))
+        rows = materialise(digests(docs, text_key().alias("text_key")), "dedup-digests")
+        groups = duplicate_groups(rows).where("group_size > 1").select("digest", F.col("n_cp").alias("most"), "keep_id")
+        # a hot digest is many narrow rows on one side and one on the other; AQE splits it
+        copies = materialise(rows.join(groups, "digest").groupBy("digest", "doc_id", "text_key", best.alias("best"))
+                             .agg(F.count(F.lit(1)).alias("n")), "dedup-copies")
+        head = copies.where("best").groupBy("digest").agg(F.min("text_key").alias("head"))
+        stays = F.col("best") & (F.col("text_key") == F.col("head"))
+        decided = materialise(copies.join(head, "digest").where(~stays | (F.col("n") > 1))
+                              .select("doc_id", "text_key", stays.alias("fold")), "dedup-decided")
+        keep.append(decided)
+    return without_rows(docs, decided)
 
 
 # --- the index as a table -------------------------------------------------------------------

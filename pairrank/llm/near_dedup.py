@@ -46,7 +46,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import intermediate_tables, materialise
-from .common import WordHashes, batch_of, map_rows, mix64, texts, words
+from .common import WordHashes, batch_of, map_rows, mix64, text_key, texts, without_rows, words
 from .components import components
 
 ORDERS = 16
@@ -98,7 +98,7 @@ def _documents(docs: DataFrame, width: int) -> DataFrame:
             return batch_of(doc_id=batch.column("doc_id"), text_key=batch.column("text_key"), n_shingles=pa.array(n, pa.int64()),
                             set_key=pa.array(keys, pa.binary()), sig=pa.array(sigs, pa.binary()))
         return step
-    return map_rows(texts(docs).withColumn("text_key", F.xxhash64("text")), "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, sig binary", make)
+    return map_rows(texts(docs).withColumn("text_key", text_key()), "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, sig binary", make)
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -336,10 +336,9 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
     A row goes by its doc_id and own text; rows without words all stay.
     """
-    rows = (_judged(docs, width).where("n_shingles > 0").groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"))
-            .agg(F.count(F.lit(1)).alias("_n"), F.first("stays").alias("_stays")).where("_n > 1 OR NOT _stays"))
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    same = docs["doc_id"].cast("bigint").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_t"))
-    once = keyed.join(rows, same, "left_anti").select(*docs.columns)
-    again = keyed.join(rows.where("_stays"), same).dropDuplicates(["_d", "_t"]).select(*docs.columns)
-    return once.unionByName(again)
+    with intermediate_tables(docs.sparkSession) as keep:
+        rows = _judged(docs, width).where("n_shingles > 0").groupBy("doc_id", "text_key").agg(
+            F.count(F.lit(1)).alias("n"), F.first("stays").alias("fold"))
+        decided = materialise(rows.where("n > 1 OR NOT fold").drop("n"), "near-decided")
+        keep.append(decided)
+    return without_rows(docs, decided)

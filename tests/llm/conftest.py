@@ -31,3 +31,9 @@ def small_docs(spark):
 
 def pairs_of(docs):
     return [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+
+
+# Names the operators use inside, in both cases: none of them may disturb a user's column.
+INTERNAL = ["row", "text_key", "their_id", "their_key", "fold", "_key", "_digest", "_d", "_t", "_n", "_stays", "_most",
+            "_keep", "most", "best", "head", "digest", "set_key", "rep", "sig", "toxic", "vote", "ids", "region_", "N_", "Score",
+            "Digest_", "KEEP_ID"]

@@ -3,7 +3,7 @@ import public_tokenizers
 import corpus_pipeline as C
 from pairrank.llm import decontaminate, exact_dedup, near_dedup, packing, toxicity
 
-from .conftest import SF, pairs_of
+from .conftest import INTERNAL, SF, pairs_of
 from .test_exact_dedup import brute as brute_exact
 from .test_near_dedup import brute as brute_near
 
@@ -34,3 +34,24 @@ def test_stages_on_edge_cases(spark, edge_docs, no_docs):
             assert (out.count() == 0) == (docs is no_docs)
     assert [n for n, _ in C.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
     assert exact_dedup and near_dedup
+
+
+def test_users_columns_come_back_untouched(spark):
+    """Columns with the names the stages use inside keep their values, and rows go as without them."""
+    long = {k: " ".join(f"{k}{j}" for j in range(40)) for k in "abcd"}
+    texts = [(1, long["a"]), (1, long["a"]), (2, long["a"] + " "), (3, long["b"]), (4, long["b"] + " more"), (5, long["c"]),
+             (None, long["d"]), (None, long["d"]), (6, None), (6, None), (7, ""), (8, "  ")]
+    schema = "doc_id bigint, text string, " + ", ".join(f"`{c}` string" for c in INTERNAL)
+    docs = spark.createDataFrame([(*t, *[f"{c}!" for c in INTERNAL]) for t in texts], schema)
+    plain = docs.select("doc_id", "text")
+    for name, stage in C.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.dtypes == docs.dtypes
+        rows = got.collect()
+        assert all(tuple(r)[2:] == tuple(f"{c}!" for c in INTERNAL) for r in rows)
+        assert sorted((tuple(r)[:2] for r in rows), key=repr) == sorted(map(tuple, stage(spark, plain, SF).collect()), key=repr), name
+    kept = sorted(map(tuple, C.exact_dedup_stage(spark, docs, SF).select("doc_id", "text").collect()), key=repr)
+    assert kept == sorted([(2, long["a"] + " "), (3, long["b"]), (4, long["b"] + " more"), (5, long["c"]),
+                           (None, long["d"]), (8, "  ")], key=repr)
+    kept = sorted(map(tuple, C.near_dedup_stage(spark, docs, SF).select("doc_id", "text").collect()), key=repr)
+    assert [r[0] for r in kept] == [1, 3, 5, 6, 6, 7, 8, None]
