@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, map_rows, texts
+from .common import batch_of, held, map_rows, texts
 from .tokens import _PLAIN, ALPHABET, WORD_PATTERN, kind_of, open_library
 
 LIMIT = 2048
@@ -205,13 +205,9 @@ class PrefixCounter:
             yield np.frombuffer(b"\0\0\0\0".join([known[c] for c in chunks]), "<i4")
 
 
-_COUNTERS: dict[str, PrefixCounter] = {}
-
-
 def counter(path: str) -> PrefixCounter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = PrefixCounter(path)
-    return _COUNTERS[path]
+    """The worker's counter for a tokenizer file, kept between tasks."""
+    return held(("counter", path), lambda: PrefixCounter(path))
 
 
 def pack(differences: np.ndarray) -> bytes:

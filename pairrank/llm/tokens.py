@@ -23,6 +23,8 @@ import re
 
 import regex
 
+from .common import held
+
 # The split patterns of the two public tokenizer kinds, and the byte alphabet
 # of byte-level BPE (printable Latin-1 stands for itself, the rest for U+0100 and up, in order).
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -76,7 +78,7 @@ class PieceEncoder:
     again, beyond it); pieces over 64 characters are never remembered.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.library = open_library(path)
         self.model = self.library.model
         self.kind = kind_of(self.library)
@@ -144,11 +146,6 @@ class PieceEncoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for a tokenizer file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return held(("encoder", path), lambda: PieceEncoder(path))
