@@ -14,7 +14,7 @@ longer item) is sent to the executors; more items mean more blocks, each held
 against all documents.
 
 Defined results: a null or empty text or item matches nothing; items shorter
-than q are matched exactly; for items so short that the bound would not be
+than q are matched exactly, at every place (of overlapping ones the first); for items so short that the bound would not be
 positive the budget shrinks until it is; rows that repeat an item_id or doc_id
 each count; null ids stay null; empty tables give no rows; extra columns are
 ignored.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, map_rows, parts_for, texts
+from .common import batch_of, held, map_rows, parts_for, texts
 
 Q = 8
 BUDGET = 0.08
@@ -163,8 +163,9 @@ class ItemIndex:
                 out.append((self.ids[k], start, end, distance, shared))
         for i, t in self.short:
             at = text.find(t)
-            if at >= 0:
+            while at >= 0:
                 out.append((i, at, at + len(t), 0, 0))
+                at = text.find(t, at + len(t))
         return out
 
 
@@ -182,16 +183,10 @@ def item_blocks(benchmark: DataFrame) -> list:
     return out
 
 
-_INDEXES: dict[str, ItemIndex] = {}
-
-
 def _index(block) -> ItemIndex:
-    """The worker's index of a block; only the latest is kept."""
+    """The worker's index of a block, kept between tasks."""
     name, sent = block
-    if name not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[name] = ItemIndex(sent.value)
-    return _INDEXES[name]
+    return held(("items", name), lambda: ItemIndex(sent.value))
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

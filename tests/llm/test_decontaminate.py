@@ -77,3 +77,10 @@ def test_blocks_of_items_find_the_same(spark, small_docs, monkeypatch):
     want = sorted(map(tuple, D.find_items(small_docs, items).collect()))
     monkeypatch.setattr(D, "BLOCK_CHARS", 3000)
     assert sorted(map(tuple, D.find_items(small_docs, items).collect())) == want
+
+
+def test_every_place_of_short_items(spark):
+    docs = spark.createDataFrame([(1, "cab x cab cabcab"), (2, "aaaa")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "cab"), (8, "aaa")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.start, r.end) for r in D.find_items(docs, items).collect())
+    assert got == [(1, 7, 0, 3), (1, 7, 6, 9), (1, 7, 10, 13), (1, 7, 13, 16), (2, 8, 0, 3)]
