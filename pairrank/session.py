@@ -114,6 +114,35 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one move: it is there whole or not at all."""
+    part, fs = _file_system(spark, f"{path}.{uuid.uuid4().hex[:8]}.tmp")
+    out = fs.create(part, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, _file_system(spark, path)[0]):
+        fs.delete(part, False)
+        raise OSError(f"could not put {path} in place")
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    hpath, fs = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
 _SHIPPED: set[str] = set()
 
 
