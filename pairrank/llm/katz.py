@@ -47,8 +47,8 @@ from .common import WordHashes, batch_of, mix64, parts_for, shuffle_parts, texts
 
 CUT = 5
 CHUNK_CHARS = 12_000_000
-BUCKET_ROWS = 2_000_000
-FIXED_POINT = float(1 << 32)  # a document's gain in a bucket is kept to this fraction
+BUCKET_ROWS = 1_000_000
+FIXED_POINT = float(1 << 26)  # a document's gain in a bucket is kept to this fraction
 SPLIT = 1_000_000
 FOLDS, FOLD = 7, 2
 _END = 0x656E64206F662074  # the end token's hash: one more word
@@ -261,25 +261,35 @@ def _count_pairs(uni: Unigrams):
     """One bucket of bigrams: what each chunk's documents gain, and the parts of alpha."""
     def run(key, table):
         own, out, parts, cells = key[0].as_py(), [], [], [[], [], [], [], []]
-        for chunk, kind, body, stat in zip(*(table.column(c).to_pylist() for c in ("chunk", "kind", "body", "stat"))):
+        chunks, kinds = table.column("chunk").to_pylist(), table.column("kind").to_pylist()
+        for k, (chunk, kind) in enumerate(zip(chunks, kinds)):
+            body = table.column("body")[k].as_py()
             if kind == "meta":
                 out.append(_row(own, chunk, kind, body))
                 continue
             h, *rest, n_docs_of, docs_of, times_of = unpack(body)
-            parts.append((chunk, stat[0], n_docs_of, docs_of, times_of))
+            parts.append((chunk, table.column("stat")[k].as_py()[0], n_docs_of, docs_of, times_of))
             for held, array in zip(cells, (np.cumsum(h, dtype=np.int64), *rest)):
                 held.append(array)
+        del table
         if not parts:
             return _table(out)
-        h, w, train, h_count, w_count = (np.concatenate(held) for held in cells)
-        cells.clear()
+
+        def joined(k: int) -> np.ndarray:
+            whole = np.concatenate(cells[k])
+            cells[k].clear()
+            return whole
+        h, w, train, h_count = joined(0), joined(1), joined(2), joined(3)
+        lower = uni.probability(joined(4))
         order = np.lexsort((w, h))
         new = np.append(True, (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0))
         first = np.flatnonzero(new)
+        of = order[first]  # one cell of each type
         r_type = np.add.reduceat(train[order], first, dtype=np.int64)
+        del train
         r = np.empty(len(order), np.int64)
         r[order] = np.repeat(r_type, np.diff(np.append(first, len(order))))
-        lower = uni.probability(w_count)
+        del order, new, first
         seen = r > 0
         gain = np.where(seen, np.log10(np.maximum(r, 1)) - np.log10(h_count + 1.0), np.log10(lower))
         backs = ~seen & (h_count > 0)
@@ -298,7 +308,6 @@ def _count_pairs(uni: Unigrams):
                 out.append(_row(own, chunk, "backs", pack(h[cell[need]].astype(np.uint64), doc[need].astype(np.uint32),
                                                           times[need].astype(np.uint32))))
         # one row a type: its context's parts of alpha
-        of = order[first]
         out.append(_row(own, None, "stat", b"", _counts_of_counts(r_type)))
         have = r_type > 0
         out.append(_row(own, None, "bigrams", pack(np.diff(h[of][have], prepend=0).astype(np.uint64),
