@@ -35,7 +35,7 @@ def pairwise_auc(model, test: DataFrame, seed: int = 0) -> DataFrame:
     draws = pos.withColumn("r", uniform_below(F.lit(data.num_items) - F.col("n_items"), seed, "auc",
                                               "user_idx", "item_idx"))
     with_neg = unrank_unseen(draws.select("user_idx", "item_idx", "n_items", "r"), data.seen,
-                             data.num_items, out_col="neg_idx")
+                             data.num_items, out_col="neg_idx", index=data.unseen_index())
     uf = model.user_factors.select("user_idx", F.col("factors").alias("u"))
     pf = model.item_factors.select(F.col("item_idx"), F.col("factors").alias("p"))
     nf = model.item_factors.select(F.col("item_idx").alias("neg_idx"), F.col("factors").alias("n"))

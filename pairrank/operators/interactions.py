@@ -33,18 +33,21 @@ def assign_shards(df: DataFrame, num_shards: int, idx_col: str = "user_idx") ->
 def interaction_stats(interactions: DataFrame) -> DataFrame:
     """Row, pair, user and item counts and id ranges.
 
-    Rows are folded to pairs first, so only distinct pairs are counted by user
-    and by item; a pair with a NULL id is no pair and a NULL id no user or item.
+    Rows are folded to pairs first, then to one row per user and per item, each
+    combined before its shuffle; the three totals are rows of one small table.  A pair with a NULL id is no pair and a NULL id
+    no user or item.
     """
-    pairs = interactions.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = interactions.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+
+    def ids(side: str) -> DataFrame:
+        one = pairs.where(F.col(f"{side}_id").isNotNull()).groupBy(f"{side}_id").agg(F.lit(1).alias("one"))
+        return one.agg(F.count(F.lit(1)).alias(f"n_{side}s"), F.min(f"{side}_id").alias(f"min_{side}_id"),
+                       F.max(f"{side}_id").alias(f"max_{side}_id"))
     whole = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
-    return pairs.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
-        F.count_if(whole).alias("n_pairs"),
-        F.count_distinct("user_id").alias("n_users"),
-        F.count_distinct("item_id").alias("n_items"),
-        F.min("user_id").alias("min_user_id"), F.max("user_id").alias("max_user_id"),
-        F.min("item_id").alias("min_item_id"), F.max("item_id").alias("max_item_id"))
+    totals = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"), F.count_if(whole).alias("n_pairs"))
+    rows = totals.unionByName(ids("user"), allowMissingColumns=True).unionByName(ids("item"), allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in ("n_rows", "n_pairs", "n_users", "n_items", "min_user_id", "max_user_id",
+                                                  "min_item_id", "max_item_id")])
 
 
 def folded_pairs(interactions: DataFrame) -> DataFrame:
@@ -80,6 +83,14 @@ class TrainingData:
     num_items: int
     num_shards: int
     n_null_rows: int = 0      # input rows left out because an id is NULL
+    _unseen: DataFrame | None = None
+
+    def unseen_index(self) -> DataFrame:
+        """Where each user's seen items stand among the ranks of its unseen ones; built at the first need."""
+        if self._unseen is None:
+            from .sampling import unseen_index
+            self._unseen = materialise(unseen_index(self.seen, self.num_items), "unseen-index")
+        return self._unseen
 
     @property
     def user_index(self) -> DataFrame:
@@ -91,9 +102,10 @@ class TrainingData:
 
     def close(self) -> None:
         """Delete the prepared tables."""
-        for df in (self.seen, self.users, self.shard_stats, self.item_index):
+        for df in (self.seen, self.users, self.shard_stats, self.item_index, self._unseen):
             if getattr(df, "_scratch_path", None):
                 delete_path(df.sparkSession, df._scratch_path)
+        self._unseen = None
 
 
 def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = None,

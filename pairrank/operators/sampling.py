@@ -17,13 +17,14 @@ In both, the negative is uniform over the items the user has not seen.  The
 first candidate ``1 + h mod N`` is kept when unseen (one equi-join against
 the seen pairs); a rejected draw takes the first unseen of ``REDRAWS`` further
 candidates; what is still left is resolved exactly by unranking a fresh
-``r`` in ``[0, N - n_items)`` to the r-th unseen item, so every draw ends and
-the result is exactly uniform.  Draw numbers are dense per shard and every
+``r`` in ``[0, N - n_items)`` to the r-th unseen item, one lookup in an index
+built once per prepared data, so every draw ends and the result is exactly
+uniform.  Draw numbers are dense per shard and every
 random choice hashes (seed, purpose, iteration, shard, draw_no).
 
 All lookups are equi-joins on unique keys: (shard, eligible rank) for the
 user, (user, item rank) for the positive, (user, item) for the candidate and
-(user, level, block) for the unranking, so no user's rows are gathered.
+(user, block) for the unranking, so no user's rows are gathered.
 """
 
 from __future__ import annotations
@@ -124,38 +125,78 @@ def per_positive_draws(plan: PerPositivePlan, iteration: int) -> DataFrame:
                              "n_items", "pos_idx")
 
 
-def _levels(num_items: int) -> int:
-    return max(1, int(num_items).bit_length())
+# Empty blocks in a row that one row emits before they are dealt out.
+EMPTY_RUN = 4096
+
+
+def _block_width(n_items, num_items: int):
+    """Ranks per block: as many blocks as the user has seen items, so that a user's blocks
+    are no more than its pairs and no block lists more than sqrt(N) gaps."""
+    return F.floor((F.lit(num_items) - 1) / n_items).cast("bigint")
+
+
+def unseen_index(seen: DataFrame, num_items: int) -> DataFrame:
+    """(user_idx, block, before, gaps): where the seen items stand among the ranks of the unseen.
+
+    With a user's seen items sorted, item t (1-based index s_t) has
+    ``gap_t = s_t - 1 - t`` unseen items below it.  Ranks 0 .. N - n_items - 1 of
+    the unseen are cut into blocks; a block has the number of seen items below
+    its first rank and, for each gap within, its offset and how many seen items
+    share it.  Blocks without gaps stand too, so one equi-join finds any rank.
+    """
+    unseen = F.lit(num_items) - F.col("n_items")
+    width = _block_width(F.col("n_items"), num_items)
+    gap = F.col("item_idx") - 1 - F.col("item_rank")
+    # an item above all unseen ones stands behind the last block
+    last = F.floor((unseen - 1) / F.col("width"))
+    rows = (seen.where(F.col("n_items") < F.lit(num_items))
+            .select("user_idx", "n_items", F.col("item_rank").alias("t"), gap.alias("gap"), width.alias("width"))
+            .withColumn("end", last + 1)
+            .withColumn("block", F.least(F.floor(F.col("gap") / F.col("width")), F.col("end"))))
+    filled = (rows.where((F.lit(num_items) - F.col("n_items") > F.col("gap")))
+              .select("user_idx", "block", "t", (F.col("gap") % F.col("width")).alias("off"))
+              .repartition("user_idx", "block").groupBy("user_idx", "block", "off")
+              .agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t"))
+              .groupBy("user_idx", "block")
+              .agg(F.min("t").alias("before"), F.array_sort(F.collect_list(F.struct("off", "n"))).alias("gaps")))
+    following = rows.select("user_idx", (F.col("t") - 1).alias("t"), F.col("block").alias("next"))
+    empty = (rows.join(following, ["user_idx", "t"], "left")
+             .select("user_idx", (F.col("block") + 1).alias("first"), F.coalesce("next", "end").alias("stop"),
+                     (F.col("t") + 1).alias("before"))
+             .unionByName(rows.where("t = 0").select("user_idx", F.lit(0).cast("bigint").alias("first"),
+                                                     F.col("block").alias("stop"), F.lit(0).cast("bigint").alias("before")))
+             .where("first < stop"))
+    # a long run of empty blocks is dealt out in pieces
+    runs = empty.select("user_idx", "before", "stop", F.explode(
+        F.sequence("first", F.col("stop") - 1, F.lit(EMPTY_RUN).cast("bigint"))).alias("first")).repartition("user_idx", "first")
+    none = F.array().cast("array<struct<off: bigint, n: bigint>>")
+    blocks = runs.select("user_idx", F.explode(F.sequence("first", F.least(F.col("stop"), F.col("first") + EMPTY_RUN) - 1)).alias("block"),
+                         "before", none.alias("gaps"))
+    return filled.unionByName(blocks)
 
 
 def unrank_unseen(draws: DataFrame, seen: DataFrame, num_items: int, r_col: str = "r",
-                  out_col: str = "neg_idx") -> DataFrame:
+                  out_col: str = "neg_idx", index: DataFrame | None = None) -> DataFrame:
     """The ``r``-th (0-based) item, in index order, that the draw's user has not seen.
 
-    With the user's seen items sorted, item t (1-based index s_t) has
-    ``gap_t = s_t - 1 - t`` unseen items below it, and the answer is
-    ``r + 1 + #{t : gap_t <= r}``.  The count is summed over the dyadic blocks
-    that tile [0, r]: one equi-join on (user, level, block) against per-level
-    block counts of the gaps, so no user's item list is ever gathered in one
-    place and no draw fans out to more than log2(N) rows.
+    The answer is ``r + 1 + #{t : gap_t <= r}``: one lookup of the rank's block
+    in ``index`` (``unseen_index`` of ``seen``, made here if not given).  Ranks
+    fall evenly on a user's blocks, so a user with very many draws is no hot
+    key.  A user without seen items has all items unseen.
     """
-    levels = _levels(num_items)
-    # a semi-join needs no distinct build side; the planner picks broadcast by size
-    users = draws.select("user_idx")
-    gaps = (seen.join(users, "user_idx", "left_semi")
-            .select("user_idx", (F.col("item_idx") - 1 - F.col("item_rank")).alias("_gap")))
-    block_counts = (gaps.select("user_idx", "_gap",
-                                F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("_level"))
-                    .groupBy("user_idx", "_level", F.expr("shiftright(_gap, _level)").alias("_block"))
-                    .agg(F.count(F.lit(1)).alias("_cnt")))
-    x_shifted = F.expr(f"shiftright({r_col} + 1, _level)")
-    probes = (draws.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
-              .where(x_shifted.bitwiseAND(F.lit(1)) == 1)
-              .withColumn("_block", x_shifted - 1))
     keep = draws.columns
-    counted = (probes.join(block_counts, ["user_idx", "_level", "_block"], "left")
-               .groupBy(*keep).agg(F.sum(F.coalesce("_cnt", F.lit(0))).alias("_below")))
-    return counted.withColumn(out_col, (F.col(r_col) + 1 + F.col("_below")).cast("bigint")).drop("_below")
+    if index is None or "n_items" not in keep:
+        counts = seen.groupBy("user_idx").agg(F.count(F.lit(1)).alias("n_items"))
+    if index is None:
+        index = unseen_index(seen.drop("n_items").join(counts, "user_idx"), num_items)
+    asked = draws if "n_items" in keep else draws.join(counts, "user_idx", "left")
+    width = _block_width(F.col("n_items"), num_items)
+    asked = asked.withColumn("_width", width).withColumn("_block", F.floor(F.col(r_col) / F.col("_width")))
+    found = asked.join(index.select("user_idx", F.col("block").alias("_block"), "before", "gaps"), ["user_idx", "_block"], "left")
+    inside = F.aggregate(F.filter("gaps", lambda g: g["off"] <= F.col(r_col) % F.col("_width")), F.lit(0).cast("bigint"),
+                         lambda total, g: total + g["n"])
+    below = F.coalesce(F.col("before") + inside, F.lit(0))
+    return found.select(*keep, (F.col(r_col) + 1 + below).cast("bigint").alias(out_col))
 
 
 # Candidates a rejected draw tries before it is unranked.
@@ -186,10 +227,13 @@ def attach_negatives(draws: DataFrame, data: TrainingData, seed: int,
              .groupBy(*_DRAW).agg(F.min(F.when(F.col("_hit").isNull(), F.struct("_try", "_cand"))).alias("_found")))
     retried = _save(rejected.join(again, list(_DRAW)).withColumn("neg_idx", F.col("_found._cand")).drop("_found"),
                     workdir, "retried-negatives")
-    resolved = _save(unrank_unseen(retried.where("neg_idx IS NULL").drop("neg_idx"), data.seen, n).drop("r"),
-                     workdir, "resolved-negatives")
     # all parts are files: the result has no lineage to recompute
-    return (accepted.unionByName(retried.where("neg_idx IS NOT NULL").drop("r")).unionByName(resolved))
+    done = accepted.unionByName(retried.where("neg_idx IS NOT NULL").drop("r"))
+    left = retried.where("neg_idx IS NULL").drop("neg_idx")
+    if left.isEmpty():
+        return done
+    resolved = unrank_unseen(left, data.seen, n, index=data.unseen_index())
+    return done.unionByName(_save(resolved.drop("r"), workdir, "resolved-negatives"))
 
 
 def _save(df: DataFrame, workdir: str | None, name: str) -> DataFrame:

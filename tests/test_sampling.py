@@ -113,3 +113,47 @@ def test_null_ids_are_counted_or_raise(spark):
     assert data.n_null_rows == 3 and data.num_users == 2 and data.num_items == 2
     with pytest.raises(ValueError, match="3 interaction rows"):
         prepare(df, num_shards=1, strict=True)
+
+
+def test_one_index_serves_all_ranks(spark):
+    """Clustered, spread, single and nearly all items seen: every rank, by the kept index; its size is bounded."""
+    rng = np.random.default_rng(6)
+    n = 300
+    sets = [range(100, 200), [0], [n - 1], range(n - 1), range(1, n), rng.choice(n, 40, replace=False), [*range(10), *range(290, n)]]
+    rows = [(u, int(i)) for u, items in enumerate(sets) for i in items] + [(99, i) for i in range(n)]
+    data = prepare(_inter(spark, rows), num_shards=2)
+    assert data.num_items == n
+    index = data.unseen_index()
+    assert index is data.unseen_index()
+    seen = data.seen.toPandas()
+    mine = {u: set(g["item_idx"]) for u, g in seen.groupby("user_idx")}
+    blocks = index.toPandas()
+    for u, g in blocks.groupby("user_idx"):
+        assert len(g) <= len(mine[u]) + 1 and g["block"].is_unique and g["gaps"].map(len).max() <= 18
+    probes = [(k, u, len(s), r) for k, (u, s, r) in enumerate((u, s, r) for u, s in mine.items() for r in range(n - len(s)))]
+    df = spark.createDataFrame(pd.DataFrame(probes, columns=["k", "user_idx", "n_items", "r"]))
+    got = unrank_unseen(df, data.seen, n, index=index).toPandas()
+    assert len(got) == len(probes)
+    unseen = {u: [i for i in range(1, n + 1) if i not in s] for u, s in mine.items()}
+    assert all(unseen[row.user_idx][row.r] == row.neg_idx for row in got.itertuples())
+
+
+def test_index_is_built_once_and_released(spark):
+    rows = [(1, i) for i in range(199)] + [(2, 5), (3, 199)]
+    data = prepare(_inter(spark, rows), num_shards=1)
+    a = sample_pairs(data, 1, 9, samples_per_user=60)
+    kept = data._unseen
+    assert kept is not None and set(a.where("user_idx = 1").select("neg_idx").toPandas()["neg_idx"]) == {200}
+    sample_pairs(data, 2, 9, samples_per_user=60).count()
+    assert data._unseen is kept
+    data.close()
+    assert data._unseen is None
+
+
+def test_stats_plan_has_no_expand(spark):
+    from pairrank.operators.interactions import interaction_stats
+    df = spark.createDataFrame([(1, 5), (1, 5), (1, None), (None, 6), (2, 6)], "user_id long, item_id long")
+    stats = interaction_stats(df)
+    assert "Expand" not in stats._jdf.queryExecution().toString()
+    assert tuple(stats.first()) == (5, 2, 2, 2, 1, 2, 5, 6)
+    assert tuple(interaction_stats(df.where("false")).first()) == (0, 0, 0, 0, None, None, None, None)
