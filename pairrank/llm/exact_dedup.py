@@ -238,8 +238,8 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
         rows = materialise(digests(docs, text_key().alias("text_key")), "dedup-digests")
         groups = duplicate_groups(rows).where("group_size > 1").select("digest", F.col("n_cp").alias("most"), "keep_id")
         # a hot digest is many narrow rows on one side and one on the other; AQE splits it
-        copies = materialise(rows.join(groups, "digest").groupBy("digest", "doc_id", "text_key", best.alias("best"))
-                             .agg(F.count(F.lit(1)).alias("n")), "dedup-copies")
+        same = rows.groupBy("digest", "doc_id", "text_key", "n_cp").agg(F.count(F.lit(1)).alias("n"))
+        copies = materialise(same.join(groups, "digest").withColumn("best", best), "dedup-copies")
         head = copies.where("best").groupBy("digest").agg(F.min("text_key").alias("head"))
         stays = F.col("best") & (F.col("text_key") == F.col("head"))
         decided = materialise(copies.join(head, "digest").where(~stays | (F.col("n") > 1))
