@@ -3,6 +3,9 @@
 Every query reads the given tables (orders ⋈ lineitem, or events) whole.
 Parameters are the reference job's: k = 10, P = 10 shards, 100 draws per
 user, learning rate 0.1, L2 0.01; a fixed seed makes every draw reproducible.
+The fits whose SQL runs every step in order (``fit_*``, ``trace_fit``,
+``factor_snapshots``) are smaller, k = 3 and 20 draws over the events; the job's
+own size is trained and scored by ``train_score_*``.
 Doubles in compared outputs are rounded to 6 places and arrays are emitted
 in long form (idx, dim, value).
 """
@@ -10,6 +13,7 @@ in long form (idx, dim, value).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,7 +25,7 @@ from ..operators.interactions import TrainingData, interaction_stats, prepare, s
 from ..operators.merge import merge_factors, sum_deltas
 from ..operators.sampling import negatives_audit, sample_pairs
 from ..operators.score import score_pairs
-from ..session import scratch_path, ship_package
+from ..session import materialise, scratch_path, ship_package
 from ..sources.behaviour import (DATETIME_24H, behaviour_from_events, distinct_behaviour, malformed_behaviour,
                                  normalise_behaviour, raw_behaviour_from_events, render_behaviour)
 from ..sources.factors_io import read_factors, write_factors
@@ -34,6 +38,7 @@ K = 10
 P = 10
 SEED = 7
 SPU = 100
+JOB_ITERATIONS = 3
 FIT_ITERATIONS = 2
 FIT_K = 3       # the training checks' factor length and draws per user: their SQL runs every step in order
 FIT_SPU = 20
@@ -73,6 +78,12 @@ def training_data(spark: SparkSession, sf_dir: str, source: str = "orders",
     return _DATA[key]
 
 
+def release() -> None:
+    """Delete the prepared tables that queries share."""
+    while _DATA:
+        _DATA.popitem()[1].close()
+
+
 def _r(c) -> F.Column:
     return F.round(c, DIGITS)
 
@@ -226,14 +237,53 @@ def _long(df: DataFrame, *keep: str) -> DataFrame:
             .select(*keep, "kind", "idx", F.col("dim").cast("bigint").alias("dim"), _r("value").alias("value")))
 
 
+def _model_factors(model) -> DataFrame:
+    users = model.user_factors.select(F.lit("user").alias("kind"), F.col("user_idx").alias("idx"), "factors")
+    items = model.item_factors.select(F.lit("item").alias("kind"), F.col("item_idx").alias("idx"), "factors")
+    return _long(users.unionByName(items))
+
+
 def _fit_factors(spark, sf_dir, strategy, sampling="uniform_user"):
     """The factors after two iterations over all events."""
     data = training_data(spark, sf_dir, "events")
     model = fit(None, BPRConfig(k=FIT_K, iterations=FIT_ITERATIONS, num_shards=P, samples_per_user=FIT_SPU,
                                 seed=SEED, strategy=strategy, sampling=sampling), data=data)
-    users = model.user_factors.select(F.lit("user").alias("kind"), F.col("user_idx").alias("idx"), "factors")
-    items = model.item_factors.select(F.lit("item").alias("kind"), F.col("item_idx").alias("idx"), "factors")
-    return _long(users.unionByName(items))
+    out = materialise(_model_factors(model), "fit-factors")
+    model.close()
+    return out
+
+
+def fit_resumed(spark, sf_dir):
+    """``fit_user_sharded`` stopped after its first iteration and resumed from the run's folder alone."""
+    config = BPRConfig(k=FIT_K, iterations=FIT_ITERATIONS, num_shards=P, samples_per_user=FIT_SPU, seed=SEED)
+    stopped = fit(None, replace(config, iterations=1), data=training_data(spark, sf_dir, "events"))
+    model = fit(None, config, resume=stopped.run_path)
+    out = materialise(_model_factors(model), "fit-resumed")
+    stopped.close()
+    model.close()
+    return out
+
+
+def job_config(strategy: str) -> BPRConfig:
+    """The reference job's own size: k = 10, 10 shards, 100 draws per user."""
+    return BPRConfig(k=K, iterations=JOB_ITERATIONS, num_shards=P, samples_per_user=SPU, seed=SEED, strategy=strategy)
+
+
+def _trained_scores(spark, sf_dir, strategy):
+    """Every distinct (customer, part) pair of the orders, scored by a model trained on all of them."""
+    data = training_data(spark, sf_dir)
+    model = fit(None, job_config(strategy), data=data)
+    out = materialise(model.score(data.seen.select("user_id", "item_id")).withColumn("score", _r("score")), "trained-scores")
+    model.close()
+    return out
+
+
+def train_score_user_sharded(spark, sf_dir):
+    return _trained_scores(spark, sf_dir, "user_sharded")
+
+
+def train_score_full_average(spark, sf_dir):
+    return _trained_scores(spark, sf_dir, "full_average")
 
 
 def fit_user_sharded(spark, sf_dir):
@@ -438,6 +488,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_user_sharded": fit_user_sharded,
     "fit_full_average": fit_full_average,
     "fit_per_positive": fit_per_positive,
+    "fit_resumed": fit_resumed,
+    "train_score_user_sharded": train_score_user_sharded,
+    "train_score_full_average": train_score_full_average,
     "trace_fit": trace_fit_q,
     "factor_snapshots": factor_snapshots,
     "trace_audit_orders": trace_audit_orders,
@@ -580,6 +633,7 @@ def oracle_sql() -> dict[str, str]:
         "fit_user_sharded": fitted("user_sharded"),
         "fit_full_average": fitted("full_average"),
         "fit_per_positive": fitted("user_sharded", "per_positive"),
+        "fit_resumed": fitted("user_sharded"),
         "trace_fit": traced + (
             "SELECT CAST(1 AS INTEGER) AS iteration, r.shard, s.draw_no, r.n - 1 AS step, s.user_idx, s.b AS pos_idx, "
             "s.c AS neg_idx, round(r.x, 6) + 0.0 AS x_uij, round(r.w, 6) + 0.0 AS weight "

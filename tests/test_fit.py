@@ -221,3 +221,16 @@ def test_old_iterations_are_deleted(spark, small_data):
     assert sorted(os.listdir(base)) == ["iter-2", "iter-3"]
     assert model.user_factors.count() == small_data.num_users
     assert model.item_factors.count() == small_data.num_items
+
+
+@pytest.mark.parametrize("strategy", ["user_sharded", "full_average"])
+def test_job_size_queries_equal_dense_loop(spark, strategy):
+    """k = 10, 10 shards, 100 draws per user: the registered queries' scores against one step at a time."""
+    from pairrank.plans import queries as Q
+    got = {(r.user_id, r.item_id): r.score for r in Q.queries()[f"train_score_{strategy}"](spark, SF_SMALL).collect()}
+    data = Q.training_data(spark, SF_SMALL)
+    cfg = Q.job_config(strategy)
+    assert (cfg.k, cfg.num_shards, cfg.samples_per_user) == (10, 10, 100)
+    U, V = _dense_fit(data, cfg)
+    want = {(r.user_id, r.item_id): U[r.user_idx] @ V[r.item_idx] for r in data.seen.collect()}
+    assert got.keys() == want.keys() and max(abs(got[p] - want[p]) for p in want) < 2e-6
