@@ -22,11 +22,11 @@ from __future__ import annotations
 import array
 import json
 import operator
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -210,13 +210,20 @@ def counter(path: str) -> PrefixCounter:
     return held(("counter", path), lambda: PrefixCounter(path))
 
 
+_ENCODE, _DECODE = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(differences: np.ndarray) -> bytes:
-    return zlib.compress(differences.astype("<i4").tobytes(), 1)
+    """One byte a code point where that holds all differences, else four; compressed."""
+    small = differences.astype(np.int8)
+    if (small == differences).all():
+        return b"\0" + _ENCODE.compress(small.tobytes())
+    return b"\1" + _ENCODE.compress(differences.astype("<i4").tobytes())
 
 
 def unpack(blob: bytes) -> np.ndarray:
     """Token count after each code point."""
-    return np.cumsum(np.frombuffer(zlib.decompress(blob), "<i4"))
+    return np.cumsum(np.frombuffer(_DECODE.decompress(blob[1:]), np.int8 if blob[0] == 0 else "<i4"), dtype=np.int64)
 
 
 def prefix_counts(docs: DataFrame, path: str, keep_prefixes: bool = True) -> DataFrame:
@@ -243,6 +250,16 @@ def prefix_counts(docs: DataFrame, path: str, keep_prefixes: bool = True) -> Dat
     return map_rows(rows, "doc_id bigint, n_bytes bigint, n_tokens bigint" + ", prefixes binary" * keep_prefixes, make)
 
 
+def whole_counts(table: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens) from a stored table of counts: each text's last entry."""
+    def make():
+        def step(batch):
+            n = [int(counts[-1]) if len(counts) else 0 for counts in map(unpack, batch.column("prefixes").to_pylist())]
+            return batch_of(doc_id=batch.column("doc_id"), n_bytes=batch.column("n_bytes"), n_tokens=pa.array(n, pa.int64()))
+        return step
+    return map_rows(table.select("doc_id", "n_bytes", "prefixes"), "doc_id bigint, n_bytes bigint, n_tokens bigint", make)
+
+
 def tokens_at(table: DataFrame, position: str) -> DataFrame:
     """Adds ``tokens``: the count of the first ``position`` (a column) code points;
     positions are held within the text; a null position gives null."""

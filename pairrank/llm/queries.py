@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, ship_package
+from ..session import materialise, scratch_path, ship_package
 from . import (collocations, decontaminate, exact_dedup, id_store, katz, near_dedup, packing, pii, prefix_counts, quality_rules,
                spelling, toxicity, url_rules)
 from .common import load
@@ -66,10 +66,10 @@ def op9_url_rules(spark, sf_dir):
 
 
 def op10_prefix_counts(spark, sf_dir):
-    """Token counts of all documents from the table of prefix counts."""
-    counts = prefix_counts.prefix_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
-                                         keep_prefixes=False)
-    return counts.withColumn("over_limit", F.col("n_tokens") > prefix_counts.LIMIT)
+    """The table of token counts at every prefix of all documents, stored; whole counts are read back from it."""
+    table = materialise(prefix_counts.prefix_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")),
+                        "prefix-counts")
+    return prefix_counts.whole_counts(table).withColumn("over_limit", F.col("n_tokens") > prefix_counts.LIMIT)
 
 
 def op11_spelling(spark, sf_dir):

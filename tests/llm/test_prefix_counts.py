@@ -32,7 +32,14 @@ def test_counts(edge_docs, no_docs, small_docs, tok):
         got = sorted(((r.doc_id, r.n_bytes, r.n_tokens) for r in C.prefix_counts(docs, PATH).collect()), key=repr)
         assert got == sorted(((d, len(t.encode()), len(tok.encode(t, add_special_tokens=False).ids))
                               for d, t in pairs_of(docs)), key=repr)
-    assert C.prefix_counts(no_docs, PATH).count() == 0
+        table = C.prefix_counts(docs, PATH)
+        assert got == sorted(((r.doc_id, r.n_bytes, r.n_tokens) for r in C.whole_counts(table).collect()), key=repr)
+    assert C.prefix_counts(no_docs, PATH).count() == 0 and C.whole_counts(C.prefix_counts(no_docs, PATH)).count() == 0
+
+
+def test_packed_differences():
+    for d in ([], [0, 1, 1, 0, -1, 2], [1] * 500, [127, -128, 0], [128, 0, -5], [-129], [70_000, -3]):
+        assert C.unpack(C.pack(np.array(d, np.int32))).tolist() == np.cumsum(d).astype(int).tolist()
 
 
 def test_truncation_and_positions(spark, small_docs, tok):
