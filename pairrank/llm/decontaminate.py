@@ -11,7 +11,7 @@ band.  No occurrence within the budget is lost.
 
 The index of one block of items (``BLOCK_CHARS`` characters at most, or one
 longer item) is sent to the executors; more items mean more blocks, each held
-against all documents.
+against all documents in turn and then released.
 
 Defined results: a null or empty text or item matches nothing; items shorter
 than q are matched exactly, at every place (of overlapping ones the first); for items so short that the bound would not be
@@ -23,12 +23,14 @@ ignored.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import delete_path, materialise
 from .common import batch_of, held, map_rows, parts_for, texts
 
 Q = 8
@@ -169,18 +171,20 @@ class ItemIndex:
         return out
 
 
-def item_blocks(benchmark: DataFrame) -> list:
-    """Broadcast indexes of blocks of items, each of bounded size."""
+def item_blocks(benchmark: DataFrame) -> Iterator[tuple]:
+    """(block, whether it is the last): broadcast blocks of items, one after another;
+    each is of bounded size, and the driver and executors hold one at a time."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = parts_for(chars, BLOCK_CHARS)
-    out = []
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"] or ""))
         sent = benchmark.sparkSession.sparkContext.broadcast([(r["item_id"], r["text"]) for r in rows])
-        out.append((uuid.uuid4().hex, sent))
-    return out
+        last = b == blocks - 1
+        yield (uuid.uuid4().hex, sent), last
+        if not last:
+            sent.destroy()
 
 
 def _index(block) -> ItemIndex:
@@ -205,8 +209,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return make
     schema = "doc_id bigint, item_id bigint, start bigint, end bigint, distance bigint, shared bigint"
     out = None
-    for block in item_blocks(benchmark):
+    for block, last in item_blocks(benchmark):
         part = map_rows(texts(docs), schema, using(block))
+        part = part if last else materialise(part, "item-finds")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -221,6 +226,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 return batch.filter(pa.array([not index.occurrences(t.as_py() or "") for t in batch.column("text")]))
             return step
         return make
-    for block in item_blocks(benchmark):
+    before = None
+    for block, last in item_blocks(benchmark):
         docs = map_rows(docs, docs.schema, using(block))
+        if not last:
+            docs = materialise(docs, "item-clean")
+            if before is not None:
+                delete_path(docs.sparkSession, before)
+            before = docs._scratch_path
     return docs

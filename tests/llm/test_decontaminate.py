@@ -84,3 +84,15 @@ def test_every_place_of_short_items(spark):
     items = spark.createDataFrame([(7, "cab"), (8, "aaa")], "item_id long, text string")
     got = sorted((r.doc_id, r.item_id, r.start, r.end) for r in D.find_items(docs, items).collect())
     assert got == [(1, 7, 0, 3), (1, 7, 6, 9), (1, 7, 10, 13), (1, 7, 13, 16), (2, 8, 0, 3)]
+
+
+def test_blocks_one_after_another(spark, small_docs, monkeypatch):
+    """Many small blocks find and drop what one does."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    whole = sorted(map(tuple, D.find_items(small_docs, items).collect()))
+    clean = sorted(r.doc_id for r in D.drop_contaminated(small_docs, items).collect())
+    chars = sum(len(r.text or "") for r in items.collect())
+    monkeypatch.setattr(D, "BLOCK_CHARS", chars // 3)
+    assert sorted(map(tuple, D.find_items(small_docs, items).collect())) == whole and whole
+    kept = D.drop_contaminated(small_docs, items)
+    assert kept.columns == small_docs.columns and sorted(r.doc_id for r in kept.collect()) == clean
