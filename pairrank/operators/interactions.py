@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import delete_path, intermediate_tables, materialise
+from .joins import spread_join
 from .ranking import dense_index, rank_within
 
 
@@ -137,30 +138,75 @@ def prepare(interactions: DataFrame, num_shards: int, num_parts: int | None = No
             "seen")
         item_index = index if index is not None else materialise(
             seen.select("item_id", "item_idx").distinct(), "item-index")
-        num_items = item_index.count()
-        per_user = materialise(
-            seen.groupBy("user_idx", "user_id", "shard", "n_items")
-            .agg(F.sum("copies").cast("bigint").alias("n_rows"))
-            .withColumn("urank", F.floor((F.col("user_idx") - 1) / F.lit(num_shards)).cast("bigint"))
-            .withColumn("eligible", (F.col("n_items") > 0) & (F.col("n_items") < F.lit(num_items))),
-            "per-user")
-        eligible = rank_within(per_user.where("eligible"), ["shard"], ["user_idx"], "erank",
-                               num_parts=num_parts)
-        # written in as many balanced parts as shuffle partitions: every iteration
-        # generates its draws from this table without a shuffle before them
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        users = materialise(
-            eligible.unionByName(per_user.where("NOT eligible").withColumn("erank", F.lit(None).cast("bigint")))
-            .repartition(n, "user_idx"),
-            "users")
-        num_users = users.count()
-        shard_stats = materialise(
-            users.groupBy("shard").agg(F.count(F.lit(1)).alias("n_users"),
-                                       F.sum(F.col("eligible").cast("bigint")).alias("n_eligible")),
-            "shard-stats")
+        users, shard_stats = _user_tables(seen, item_index.count(), num_shards, num_parts)
         keep.extend([seen, item_index, users, shard_stats])
-    return TrainingData(seen=seen, users=users, shard_stats=shard_stats, item_index=item_index,
-                        num_users=num_users, num_items=num_items, num_shards=num_shards, n_null_rows=int(n_null))
+    return _training_data(seen, users, shard_stats, item_index, num_shards, int(n_null))
+
+
+def _user_tables(seen: DataFrame, num_items: int, num_shards: int, num_parts: int | None) -> tuple[DataFrame, DataFrame]:
+    """The users and shard_stats tables of a stored ``seen``."""
+    per_user = materialise(
+        seen.groupBy("user_idx", "user_id", "shard", "n_items")
+        .agg(F.sum("copies").cast("bigint").alias("n_rows"))
+        .withColumn("urank", F.floor((F.col("user_idx") - 1) / F.lit(num_shards)).cast("bigint"))
+        .withColumn("eligible", (F.col("n_items") > 0) & (F.col("n_items") < F.lit(num_items))),
+        "per-user")
+    eligible = rank_within(per_user.where("eligible"), ["shard"], ["user_idx"], "erank",
+                           num_parts=num_parts)
+    # written in as many balanced parts as shuffle partitions: every iteration
+    # generates its draws from this table without a shuffle before them
+    n = int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    users = materialise(
+        eligible.unionByName(per_user.where("NOT eligible").withColumn("erank", F.lit(None).cast("bigint")))
+        .repartition(n, "user_idx"),
+        "users")
+    shard_stats = materialise(
+        users.groupBy("shard").agg(F.count(F.lit(1)).alias("n_users"),
+                                   F.sum(F.col("eligible").cast("bigint")).alias("n_eligible")),
+        "shard-stats")
+    return users, shard_stats
+
+
+def _training_data(seen, users, shard_stats, item_index, num_shards: int, n_null: int) -> TrainingData:
+    return TrainingData(seen=seen, users=users, shard_stats=shard_stats, item_index=item_index, num_users=users.count(),
+                        num_items=item_index.count(), num_shards=num_shards, n_null_rows=n_null)
+
+
+def append(data: TrainingData, interactions: DataFrame, num_parts: int | None = None, strict: bool = False) -> TrainingData:
+    """``data`` with more interactions, as a new TrainingData; ``data`` stays as it is.
+
+    Known users and items keep their indexes (and users their shards); new ids
+    are numbered behind them in id order.  Only the users that have new pairs get
+    their item sets ranked anew, in index order; the rows of all others are
+    taken over.  NULL ids are counted or refused as by ``prepare``.
+    """
+    spark = interactions.sparkSession
+    with intermediate_tables(spark) as keep:
+        folded = materialise(folded_pairs(interactions), "pairs")
+        whole = F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
+        n_null = folded.where(~whole).agg(F.sum("copies")).first()[0] or 0
+        if strict and n_null:
+            raise ValueError(f"{n_null} interaction rows have a NULL user_id or item_id")
+        pairs = folded.where(whole)
+
+        def extended(known: DataFrame, id_col: str, idx_col: str, size: int) -> DataFrame:
+            new = dense_index(pairs.join(known, id_col, "left_anti"), id_col, idx_col, num_parts)
+            return materialise(known.select(id_col, idx_col).unionByName(
+                new.select(id_col, (F.col(idx_col) + size).alias(idx_col))), f"index-{idx_col}")
+        item_index = extended(data.item_index, "item_id", "item_idx", data.num_items)
+        user_index = extended(data.user_index, "user_id", "user_idx", data.num_users)
+        added = materialise(spread_join(spread_join(pairs, user_index, "user_id"), item_index, "item_id")
+                            .select("user_id", "user_idx", "item_id", "item_idx", "copies"), "added")
+        touched = added.select("user_idx").distinct()
+        key = ["user_id", "user_idx", "item_id", "item_idx"]
+        merged = materialise(data.seen.join(touched, "user_idx", "left_semi").select(*key, "copies").unionByName(added)
+                             .groupBy(*key).agg(F.sum("copies").alias("copies")), "merged")
+        ranked = rank_within(merged, ["user_idx"], ["item_idx"], "item_rank", count_col="n_items", num_parts=num_parts)
+        fresh = assign_shards(ranked, data.num_shards).select(*data.seen.columns)
+        seen = materialise(data.seen.join(touched, "user_idx", "left_anti").select(*data.seen.columns).unionByName(fresh), "seen")
+        users, shard_stats = _user_tables(seen, item_index.count(), data.num_shards, num_parts)
+        keep.extend([seen, item_index, users, shard_stats])
+    return _training_data(seen, users, shard_stats, item_index, data.num_shards, data.n_null_rows + int(n_null))
 
 
 def user_items(data: TrainingData) -> DataFrame:

@@ -21,16 +21,17 @@ from pyspark.sql import functions as F
 from ..functions.vectors import dot
 from ..operators.factors import factor_rows, init_factors
 from ..operators.gradient import attach_factors, gradient_deltas, pair_gradients, pair_margins
-from ..operators.interactions import TrainingData, interaction_stats, prepare, shard_users, user_items
+from ..operators.interactions import TrainingData, append, interaction_stats, prepare, shard_users, user_items
 from ..operators.merge import merge_factors, sum_deltas
 from ..operators.sampling import negatives_audit, sample_pairs
 from ..operators.score import score_pairs
+from ..operators.trace_store import merged_from_steps, read_trace_store, write_trace_store
 from ..session import materialise, scratch_path, ship_package
 from ..sources.behaviour import (DATETIME_24H, behaviour_from_events, distinct_behaviour, malformed_behaviour,
                                  normalise_behaviour, raw_behaviour_from_events, render_behaviour)
 from ..sources.factors_io import read_factors, write_factors
 from ..sources.ratings import ratings_behaviour, read_ratings, write_ratings
-from ..sources.tables import interactions_from_events, interactions_from_orders, load
+from ..sources.tables import interactions_from_events, interactions_from_orders, item_key_of_props, load
 from . import oracle as O
 from .fit import ALPHA, LAMBDA, BPRConfig, fit, trace_fit
 
@@ -317,6 +318,27 @@ def factor_snapshots(spark, sf_dir):
     return _long(_trace_model(spark, sf_dir).snapshots, "phase", "iteration")
 
 
+def trace_store_last(spark, sf_dir):
+    """The merged factors after the traced iteration, worked out from the stored trace's last steps."""
+    model = _trace_model(spark, sf_dir)
+    path = scratch_path(spark, "trace-store")
+    write_trace_store(model.trace, model.snapshots, path)
+    model.close()
+    return _long(merged_from_steps(read_trace_store(spark, path), 1, 2, FIT_K))
+
+
+def appended_items(spark, sf_dir):
+    """User item sets after the events of odd id were appended to the prepared even ones."""
+    events = load(spark, sf_dir, "events")
+    both = [events.select((F.col("event_id") % 2).alias("odd"), F.col("user_id").cast("bigint").alias("user_id"),
+                          item_key_of_props().cast("bigint").alias("item_id")).where(F.col("odd") == odd).drop("odd")
+            for odd in (0, 1)]
+    first = prepare(both[0], P)
+    data = append(first, both[1])
+    first.close()
+    return data.seen.select("user_id", "user_idx", "item_id", "item_idx", "item_rank", "copies", "n_items", "shard")
+
+
 def trace_audit_orders(spark, sf_dir):
     """One row over a traced run on all orders: steps, and how many of them are wrong.
 
@@ -494,6 +516,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trace_fit": trace_fit_q,
     "factor_snapshots": factor_snapshots,
     "trace_audit_orders": trace_audit_orders,
+    "trace_store_last": trace_store_last,
+    "appended_items": appended_items,
     "sample_negatives_3": sample_negatives_3,
     "saturated_users": saturated_users,
     "sample_saturated": sample_saturated,
@@ -641,6 +665,16 @@ def oracle_sql() -> dict[str, str]:
         "factor_snapshots": traced + " UNION ALL ".join([
             O.factors_of("uf_0", "vf_0", phase("init", 0)), O.factors_of("uf_1", "vf_1", phase("mean", 1)),
             O.factors_of("uf_1", "vf_1", phase("sum", 1), " * 2")]),
+        "trace_store_last": traced + O.factors_of("uf_1", "vf_1"),
+        "appended_items": (
+            f"WITH e AS (SELECT event_id % 2 AS odd, * FROM ({events.replace(' FROM events', ', event_id FROM events')})), "
+            "p AS (SELECT user_id, item_id, min(odd) AS odd, CAST(count(*) AS BIGINT) AS copies FROM e "
+            "WHERE user_id IS NOT NULL AND item_id IS NOT NULL GROUP BY user_id, item_id), "
+            "u AS (SELECT user_id, row_number() OVER (ORDER BY min(odd), user_id) AS user_idx FROM p GROUP BY user_id), "
+            "i AS (SELECT item_id, row_number() OVER (ORDER BY min(odd), item_id) AS item_idx FROM p GROUP BY item_id) "
+            "SELECT user_id, user_idx, item_id, item_idx, row_number() OVER (PARTITION BY user_idx ORDER BY item_idx) - 1 AS item_rank, "
+            f"copies, count(*) OVER (PARTITION BY user_idx) AS n_items, CAST(user_idx % {P} AS INTEGER) AS shard "
+            "FROM p JOIN u USING (user_id) JOIN i USING (item_id)"),
         "trace_audit_orders": O.with_ctes(orders, 2) + (
             "SELECT CAST(sum(copies) AS BIGINT) AS n_steps, CAST(0 AS BIGINT) AS n_wrong_margins, "
             "CAST(0 AS BIGINT) AS n_broken_chains FROM seen WHERE n_items < (SELECT n FROM nitems)"),
