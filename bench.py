@@ -49,11 +49,13 @@ def main() -> None:
     timed("sample", lambda: _force(sample_pairs(data, 1, 7, samples_per_user=100)))
     cfg = BPRConfig(k=10, iterations=ITERATIONS, num_shards=10, samples_per_user=100, seed=7)
     model = timed("fit_user_sharded", lambda: fit(None, cfg, data=data))
-    timed("fit_full_average",
-          lambda: fit(None, BPRConfig(**{**cfg.__dict__, "strategy": "full_average"}), data=data))
+    averaged = timed("fit_full_average",
+                     lambda: fit(None, BPRConfig(**{**cfg.__dict__, "strategy": "full_average"}), data=data))
     timed("score", lambda: _force(model.score(inter.distinct())))
     small = prepare(inter, 2)
     timed("trace_fit", lambda: _force(trace_fit(None, data=small).trace))
+    for table in (model, averaged, data, small):
+        table.close()
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "bpr_headline_total", "value": total, "unit": "sec",
