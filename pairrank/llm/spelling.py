@@ -47,9 +47,9 @@ DROPPED_OF = 31     # one of this many (document, word) pairs loses a letter
 GROUPS = 12
 TOP = 3
 SUBTREE = 20_000
-HELD_WORDS = 400_000    # distinct words a counting task holds before it sends them
+HELD_WORDS = 200_000    # distinct words a counting task holds before it sends them
 _SHORT = 64         # longer words are verified one pair at a time
-_PIECE = 200_000    # rows of one step of the search
+_PIECE = 100_000    # rows of one step of the search
 _RUN = re.compile("[A-Za-zÀ-ÿ]+")
 
 
@@ -258,7 +258,7 @@ class Trie:
         total = np.cumsum(n)
         at = 0
         while at < len(q):
-            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + 5 * _PIECE, "right")))
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + _PIECE, "right")))
             some = n[at:end]
             place = np.repeat(begin[at:end] - (np.cumsum(some) - some), some) + np.arange(some.sum())
             yield np.repeat(q[at:end], some), self.order[place]
