@@ -64,6 +64,17 @@ def test_fit_equals_dense_loop(spark, small_data, strategy):
     assert np.abs(gotV - V).max() < 1e-9
 
 
+def test_vectors_longer_than_a_row(spark):
+    """k = 37: a vector travels in three rows."""
+    rows = [(u, i) for u in range(6) for i in range(9) if (u + i) % 4]
+    data = prepare(spark.createDataFrame(rows, "user_id long, item_id long"), 2)
+    cfg = BPRConfig(k=37, iterations=1, num_shards=2, samples_per_user=6, seed=4)
+    model = fit(None, cfg, data=data)
+    U, V = _dense_fit(data, cfg)
+    assert np.abs(_dense(model.user_factors, "user_idx", data.num_users) - U).max() < 1e-9
+    assert np.abs(_dense(model.item_factors, "item_idx", data.num_items) - V).max() < 1e-9
+
+
 def test_one_shard_makes_strategies_equal(spark):
     data = prepare(interactions_from_orders(spark, SF_SMALL), num_shards=1)
     a = fit(None, BPRConfig(k=3, iterations=1, num_shards=1, samples_per_user=5, seed=1), data=data)
@@ -180,12 +191,12 @@ def test_steps_are_streamed_in_blocks(spark, small_data, monkeypatch):
     from pairrank.operators import kernel as K
     rng = np.random.default_rng(3)
     n = 500
-    vec = [rng.normal(size=2).tolist() for _ in range(20)]
+    vec = rng.normal(size=(20, 2))
     rows = pa.table({
         "shard": [0] * (20 + n), "tag": [0] * 8 + [1] * 12 + [2] * n, "draw_no": [0] * 20 + list(range(n)),
         "a": list(range(8)) + list(range(12)) + rng.integers(0, 8, n).tolist(),
         "b": [None] * 20 + rng.integers(0, 6, n).tolist(), "c": [None] * 20 + rng.integers(6, 12, n).tolist(),
-        "factors": vec + [None] * n})
+        **{f"v{d}": vec[:, d].tolist() + [None] * n for d in range(2)}})
     out = []
     for block in (10 ** 6, 37):
         monkeypatch.setattr(K, "STEP_BLOCK", block)
