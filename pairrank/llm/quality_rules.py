@@ -100,8 +100,8 @@ def statistics(docs: DataFrame) -> DataFrame:
     return map_rows(texts(docs), "doc_id bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS), make)
 
 
-def _share(part: str, whole: str, per: int = 1) -> Column:
-    return F.col(part) * float(per) / F.greatest(F.col(whole), F.lit(1))
+def _share(part: str, whole: str) -> Column:
+    return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
 
 # Interpretable ratios, in the order in which ties between conditions are settled.
