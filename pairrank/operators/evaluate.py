@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_below
 from ..functions.vectors import pair_margin
-from .joins import spread_join
+from .joins import growing, spread_join
 from .sampling import unrank_unseen
 
 
@@ -30,7 +30,7 @@ def pairwise_auc(model, test: DataFrame, seed: int = 0) -> DataFrame:
     data = model.data
     known = spread_join(test.select("user_id", "item_id").distinct(), data.user_index, "user_id")
     pos = (spread_join(known, data.item_index, "item_id")
-           .join(data.users.select("user_idx", "n_items"), "user_idx")
+           .join(growing(data.users.select("user_idx", "n_items")), "user_idx")
            .where(F.col("n_items") < F.lit(data.num_items)))
     draws = pos.withColumn("r", uniform_below(F.lit(data.num_items) - F.col("n_items"), seed, "auc",
                                               "user_idx", "item_idx"))

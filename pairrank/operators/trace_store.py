@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .joins import growing
 from .merge import merge_factors, sum_deltas
 
 ORDER = ["kind", "idx", "iteration", "shard", "step"]
@@ -55,7 +56,7 @@ def merged_from_steps(store: DataFrame, iteration: int, num_shards: int, k: int)
     base = store.where(F.col("shard").isNull() & (F.col("iteration") == iteration - 1)).select("kind", "idx", "factors")
     last = (store.where((F.col("iteration") == iteration) & F.col("shard").isNotNull())
             .groupBy("kind", "idx", "shard").agg(F.max_by("factors", "step").alias("last")))
-    moved = last.join(base, ["kind", "idx"]).select(
+    moved = last.join(growing(base), ["kind", "idx"]).select(
         F.struct("kind", "idx").alias("row"), F.array(*[F.col("last")[d] - F.col("factors")[d] for d in range(k)]).alias("values"))
     old = base.select(F.struct("kind", "idx").alias("row"), "factors")
     return merge_factors(old, sum_deltas(moved, k, idx_col="row"), "row", num_shards, k=k).select("row.kind", "row.idx", "factors")
