@@ -94,10 +94,18 @@ class PieceEncoder:
             symbols = part.replace(" ", ALPHABET[32]) if part.isascii() else \
                 part.encode().decode("latin-1").translate(ALPHABET)
             ids = array.array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
-            if len(part) == 1 and not part.startswith(self.lead or "\0"):
+            if part.startswith(self.lead):
+                self._keep(part[len(self.lead):], ids)
+            elif len(part) == 1:
                 self.marks[part] = ids
         return ids
 
+    def _keep(self, piece: str, ids: bytes) -> None:
+        if 0 < len(piece) <= 64:
+            if len(self.known) >= self.limit:
+                self.known.clear()
+            self.known[piece] = ids
+
     def encode_piece(self, piece: str) -> bytes:
         if (self.kind == "other" or "<|" in piece or not _PLAIN.fullmatch(piece)
                 or self.hold and any(s in piece for s in self.hold)):
@@ -112,10 +120,7 @@ class PieceEncoder:
         ids = self.known.get(piece)
         if ids is None:
             ids = self.encode_piece(self.lead + piece)
-            if len(piece) <= 64:
-                if len(self.known) >= self.limit:
-                    self.known.clear()
-                self.known[piece] = ids
+            self._keep(piece, ids)
         return ids
 
     def _uneven(self, text: str) -> bytes:

@@ -20,3 +20,19 @@ def test_equals_the_library(name, small_docs):
     texts = HARD + ["".join(rnd.choice(letters) for _ in range(rnd.randrange(60))) for _ in range(800)]
     for text in texts + [r.text for r in small_docs.limit(80).collect()]:
         assert enc.ids(text) == array.array("I", enc.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_pre_token_is_encoded_once(name):
+    enc = PieceEncoder(public_tokenizers.path(name))
+    asked, model = [], enc.model
+
+    class Counting:
+        def tokenize(self, symbols):
+            asked.append(symbols)
+            return model.tokenize(symbols)
+    enc.model = Counting()
+    text = "x word, word. word! (word word"
+    got = enc.ids(text)
+    assert sum("word" in s and "(" not in s for s in asked) == 1 + (name[0] == "b")  # a byte-level one has no space after (
+    assert got == array.array("I", enc.library.encode(text, add_special_tokens=False).ids).tobytes()
