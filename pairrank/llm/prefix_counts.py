@@ -35,12 +35,16 @@ from .tokens import _PLAIN, ALPHABET, WORD_PATTERN, kind_of, open_library
 
 LIMIT = 2048
 
+# Symbols by which the longest token that may end at a place is looked up.
+REACH = 3
+
 
 class PrefixCounter:
     """Token counts of all prefixes; ``limit`` bounds the remembered pieces."""
 
     def __init__(self, path: str, limit: int = 400_000):
         import regex
+        from tokenizers.models import BPE
         self.library = open_library(path)
         if kind_of(self.library) != "word":
             raise ValueError("prefix counts need a tokenizer whose white space only separates words")
@@ -53,38 +57,25 @@ class PrefixCounter:
             ends = t.endswith(self.end)
             t = t[:-len(self.end)] if ends else t
             self.forms[t] = self.forms.get(t, 0) | (2 if ends else 1)
-        self.longest = max(map(len, self.forms))
+        # the last REACH symbols -> length of the longest token that ends with them
+        self.reach: dict[str, int] = {}
+        for t in self.forms:
+            self.reach[t[-REACH:]] = max(len(t), self.reach.get(t[-REACH:], 0))
+        # the same merges on symbols that no word end follows
+        self.within = BPE(vocab=spec["model"]["vocab"], merges=merges, unk_token=spec["model"].get("unk_token"))
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.split = regex.compile(WORD_PATTERN)
         self.limit, self.pieces, self.chunks, self.pairs = limit, {}, {"": b""}, {}
         self.path, self.last, self.count, self.closed = "", [""], [0], [0]
 
-    def _merged(self, symbols: list[str]) -> list[str]:
-        while len(symbols) > 1:
-            ranks = [self.rank.get(p, 1 << 60) for p in zip(symbols, symbols[1:])]
-            best = min(ranks)
-            if best == 1 << 60:
-                break
-            out, k = [], 0
-            while k < len(symbols):
-                if k < len(ranks) and ranks[k] == best:
-                    out.append(symbols[k] + symbols[k + 1])
-                    k += 2
-                else:
-                    out.append(symbols[k])
-                    k += 1
-            symbols = out
-        return symbols
-
     def _fits(self, before: str, token: str) -> int:
         """In which forms BPE leaves ``before`` then ``token`` as these two (1, 2 or both)."""
         head, fits = [before] if before else [], 0
-        for form, mark in ((1, ""), (2, self.end)):
-            if self.forms[token] & form:
-                symbols = list(before + token)
-                symbols[-1] += mark
-                if self._merged(symbols) == head + [token + mark]:
+        for form, mark, model in ((1, "", self.within), (2, self.end, self.library.model)):
+            # two tokens that merge never stay two
+            if self.forms[token] & form and (before, token + mark) not in self.rank:
+                if [t.value for t in model.tokenize(before + token)] == head + [token + mark]:
                     fits |= form
         if len(self.pairs) >= 4 * self.limit:
             self.pairs.clear()
@@ -101,10 +92,12 @@ class PrefixCounter:
                 break
             shared += 1
         del last[shared + 1:], count[shared + 1:], closed[shared + 1:]
-        form_of, pair_of, longest = self.forms.get, self.pairs.get, self.longest
+        form_of, pair_of, longest_at = self.forms.get, self.pairs.get, self.reach.get
         for j in range(shared + 1, len(symbols) + 1):
             want = 3
             open_at = end_at = 0
+            # a token no longer than REACH may end here too; it needs no entry
+            longest = longest_at(symbols[j - REACH:j], REACH) if j > REACH else j
             for at in range(j - longest if j > longest else 0, j):
                 token = symbols[at:j]
                 form = form_of(token)
@@ -167,8 +160,11 @@ class PrefixCounter:
             at = b
         return [*out, ("", len(run) - at)]
 
+    def _joined(self, parts: list[tuple[str, int]]) -> bytes:
+        return b"".join([b"\0\0\0\0" * gap + (self._steps(p) if p else b"") for p, gap in parts])
+
     def _run(self, run: str) -> bytes:
-        return b"".join([b"\0\0\0\0" * gap + (self._steps(p) if p else b"") for p, gap in self._split(run)])
+        return self._joined(self._split(run))
 
     def chunk(self, chunk: str) -> bytes:
         """Differences of the counts at the code points of text between separators."""
@@ -196,11 +192,12 @@ class PrefixCounter:
         if len(known) + len(new) > self.limit:
             known = self.chunks = {"": b""}
             new = {c for chunks in cut for c in chunks if c}
+        plain = {c: self._split(c) for c in new if "<|" not in c and len(c) <= 64}
         # in order, so that neighbouring words share most of their tables
-        for piece in sorted({p for c in new if "<|" not in c and len(c) <= 64 for p, _ in self._split(c) if p}):
+        for piece in sorted({p for parts in plain.values() for p, _ in parts if p}):
             self._steps(piece)
         for c in new:
-            known[c] = self.chunk(c)
+            known[c] = self._joined(plain[c]) if c in plain else self.chunk(c)
         for chunks in cut:
             yield np.frombuffer(b"\0\0\0\0".join([known[c] for c in chunks]), "<i4")
 

@@ -57,3 +57,17 @@ def test_truncation_and_positions(spark, small_docs, tok):
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         C.PrefixCounter(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_a_place_is_only_asked_for_tokens_that_may_end_there():
+    count = C.PrefixCounter(PATH)
+    asked = []
+
+    class Asked(dict):
+        def get(self, token, default=None):
+            asked.append(token)
+            return dict.get(self, token, default)
+    count.forms = Asked(count.forms)
+    word = "qzxjkvqwzx" * 4  # no token is longer than three of these
+    every = count.word_counts(word)
+    assert len(every) == len(word) and len(asked) <= len(word) * (C.REACH + 1)
