@@ -58,3 +58,51 @@ def test_written_tables_restore_the_task_size(spark):
         assert spark.conf.get(key) == "8m"
     assert spark.conf.get(key) == before and materialise_small(spark.range(3), "three").count() == 3
     assert spark.conf.get(key) == before
+
+
+def test_draws_come_with_their_numbers_and_one_join_key(spark, small_data):
+    """No digest is worked out row by row, and draws meet their users by one number."""
+    from pairrank.operators.sampling import uniform_user_draws
+    plan = uniform_user_draws(small_data, 1, 5, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5(" not in plan and "conv(" not in plan
+    assert sum("Join Inner, (_place" in line for line in plan.split("\n")) == 1
+
+
+def test_dense_samples_get_all_items_without_an_aggregate(spark, small_data):
+    """With more samples than items in all shards no distinct items are looked for, and the result is the same."""
+    from pairrank.operators.factors import init_factors
+    from pairrank.plans import fit as plans
+    from pairrank.session import materialise
+
+    users = init_factors(small_data.users, "user_idx", 2, 1, "user", keep=("shard",))
+    items = init_factors(small_data.item_index, "item_idx", 2, 1, "item")
+    config = plans.BPRConfig(k=2, num_shards=3, seed=5)
+    samples = materialise(sample_pairs(small_data, 1, 5, samples_per_user=9), "dense-samples")
+    assert samples.count() >= 3 * small_data.num_items
+    dense = plans._shard_rows(samples, users, items, 2, 3)
+    assert "Aggregate" not in dense._jdf.queryExecution().optimizedPlan().toString()
+    assert dense.where("tag = 1").count() == 3 * small_data.num_items
+    few = samples.where("draw_no < 20")
+    assert few.count() < 3 * small_data.num_items
+    sparse = plans._shard_rows(few, users, items, 2, 3)
+    touched = {(r.shard, i) for r in few.collect() for i in (r.pos_idx, r.neg_idx)}
+    assert {(r.shard, r.a) for r in sparse.where("tag = 1").collect()} == touched
+    # a row that no step touched has no delta
+    for rows in (samples, few):
+        touched = {(r.shard, i) for r in rows.collect() for i in (r.pos_idx, r.neg_idx)}
+        out = plans.run_shards(rows, users, items, config).where("kind = 'item'").collect()
+        assert {(r.shard, r.idx) for r in out} == touched and len(out) == len(touched)
+
+
+def test_places_of_even_and_uneven_ids():
+    import pyarrow as pa
+
+    from pairrank.operators.kernel import _Rows
+    for ids in ([4], [3, 4, 5], [2, 12, 22, 32], [1, 2, 5, 9]):
+        rows = _Rows(pa.table({"a": ids, "draw_no": [0] * len(ids), "v0": [0.0] * len(ids)}), 1)
+        assert rows.places(np.array(ids[::-1])).tolist() == list(range(len(ids)))[::-1]
+        assert rows.places(np.zeros(0, np.int64)).tolist() == []
+        for wrong in (0, 7, 40):
+            with pytest.raises(ValueError, match="did not receive"):
+                rows.places(np.array([ids[0], wrong]))
+    assert _Rows(pa.table({"a": [2, 12], "draw_no": [0, 0], "v0": [0.0, 0.0]}), 1).step == 10
