@@ -20,8 +20,7 @@ import array
 import json
 import os
 import re
-
-import regex
+import unicodedata
 
 from .common import held
 
@@ -31,7 +30,7 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= \S)")
-_PLAIN = re.compile(r" ?[!-~¡-ɏ]+")
+_PLAIN = re.compile(r" ?[\n!-~¡-ɏ]+")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -71,40 +70,66 @@ def open_library(path: str):
     return library
 
 
+def _latin(pattern: str) -> re.Pattern:
+    """A split pattern for texts of ``_PLAIN`` characters, or these in lower case, by plain classes."""
+    plain = [chr(c) for c in range(ord("!"), ord("ɏ") + 1)]
+    classes = {kind: "".join(re.escape(c) for c in sorted({x for c in plain for x in c + c.lower()})
+                             if unicodedata.category(c)[0] == kind) for kind in "LN"}
+    for kind, members in classes.items():
+        bare = rf"\p{{{kind}}}"
+        # inside a class the members alone, elsewhere a class of them
+        pattern = re.sub(r"\[[^\]]*\]", lambda c: c[0].replace(bare, members), pattern).replace(bare, f"[{members}]")
+    return re.compile(pattern)
+
+
 class PieceEncoder:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
-    ``limit`` bounds the remembered pieces (all are forgotten, and encoded
-    again, beyond it); pieces over 64 characters are never remembered.
+    ``limit`` bounds the remembered pieces and pre-tokens: beyond half of it they
+    become the older ones, of which only those asked again are kept on.  Those
+    over 64 characters are never remembered.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
         self.library = open_library(path)
         self.model = self.library.model
         self.kind = kind_of(self.library)
-        self.limit, self.known, self.marks = limit, {}, {}
+        self.limit, self.known, self.older = limit, {}, {}
         self.lead = " " if self.kind == "byte" else ""  # what stands before each remembered piece
-        self.split = regex.compile(WORD_PATTERN if self.kind == "word" else BYTE_PATTERN)
+        self.split = _latin(WORD_PATTERN if self.kind == "word" else BYTE_PATTERN)
         self.hold = [t.content for t in self.library.get_added_tokens_decoder().values() if "<|" not in t.content]
+        self.words = self.kind != "other" and not any(s.isalpha() for s in self.hold)
+
+    def _tokens(self, part: str) -> bytes:
+        """Ids of one pre-token by the library's model."""
+        if not part.isascii() or "\n" in part:
+            part = part.encode().decode("latin-1").translate(ALPHABET)
+        elif part[0] == " ":
+            part = ALPHABET[32] + part[1:]
+        return array.array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
 
     def _part(self, part: str) -> bytes:
-        """Ids of one pre-token."""
-        ids = self.known.get(part[len(self.lead):]) if part.startswith(self.lead) else self.marks.get(part)
+        """Ids of one pre-token.  One without the lead is remembered under a space, which no piece has."""
+        key = part if not self.lead else part[1:] if part[0] == " " else " " + part
+        ids = self._recall(key)
+        if ids is None:
+            ids = self._tokens(part)
+            self._keep(key, ids)
+        return ids
+
+    def _recall(self, key: str) -> bytes | None:
+        ids = self.known.get(key)
         if ids is None:
-            symbols = part.replace(" ", ALPHABET[32]) if part.isascii() else \
-                part.encode().decode("latin-1").translate(ALPHABET)
-            ids = array.array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
-            if part.startswith(self.lead):
-                self._keep(part[len(self.lead):], ids)
-            elif len(part) == 1:
-                self.marks[part] = ids
+            ids = self.older.get(key)
+            if ids is not None:
+                self._keep(key, ids)
         return ids
 
-    def _keep(self, piece: str, ids: bytes) -> None:
-        if 0 < len(piece) <= 64:
-            if len(self.known) >= self.limit:
-                self.known.clear()
-            self.known[piece] = ids
+    def _keep(self, key: str, ids: bytes) -> None:
+        if 0 < len(key) <= 64:
+            if len(self.known) >= self.limit // 2:
+                self.older, self.known = self.known, {}
+            self.known[key] = ids
 
     def encode_piece(self, piece: str) -> bytes:
         if (self.kind == "other" or "<|" in piece or not _PLAIN.fullmatch(piece)
@@ -112,14 +137,16 @@ class PieceEncoder:
             return array.array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
         if self.kind == "word":
             piece = piece.lower()
-        if piece[len(self.lead):].isalpha():
-            return self._part(piece)
         return b"".join(map(self._part, self.split.findall(piece)))
 
     def _remember(self, piece: str) -> bytes:
-        ids = self.known.get(piece)
+        ids = self._recall(piece)
         if ids is None:
-            ids = self.encode_piece(self.lead + piece)
+            low = piece.lower() if self.kind == "word" else piece
+            if self.words and low.isalpha() and (piece.isascii() or max(piece) <= "ɏ"):
+                ids = self._tokens(self.lead + low) if low is piece else self._part(low)  # one pre-token
+            else:
+                ids = self.encode_piece(self.lead + piece)
             self._keep(piece, ids)
         return ids
 

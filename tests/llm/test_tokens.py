@@ -36,3 +36,34 @@ def test_a_pre_token_is_encoded_once(name):
     got = enc.ids(text)
     assert sum("word" in s and "(" not in s for s in asked) == 1 + (name[0] == "b")  # a byte-level one has no space after (
     assert got == array.array("I", enc.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def test_lines_within_a_piece_need_no_whole_encoding():
+    """Pieces with a line feed are split at the tokenizer's own cuts; their words are remembered like others."""
+    enc = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    whole, library = [], enc.library
+
+    class Counting:
+        def encode(self, text, **how):
+            whole.append(text)
+            return library.encode(text, **how)
+    enc.library = Counting()
+    text = "some words.\nThen more words.\n\nThen ends\n\n\n12.\nThen"
+    assert enc.ids(text) == array.array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+    assert whole == []
+
+
+def test_pieces_in_use_stay_remembered():
+    """Beyond the bound the pieces asked for again are kept, not encoded again."""
+    enc = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"), limit=20)
+    asked, model = [], enc.model
+
+    class Counting:
+        def tokenize(self, symbols):
+            asked.append(symbols)
+            return model.tokenize(symbols)
+    enc.model = Counting()
+    for k in range(100):
+        enc.ids("x often " + "ab"[k % 2] * (k + 1))
+        assert len(enc.known) + len(enc.older) <= 20
+    assert sum("often" in s for s in asked) == 1
