@@ -68,6 +68,24 @@ def test_draws_come_with_their_numbers_and_one_join_key(spark, small_data):
     assert sum("Join Inner, (_place" in line for line in plan.split("\n")) == 1
 
 
+def test_rank_within_few_groups_shuffles_no_rows_to_its_summary(spark, small_data):
+    """The rows of a shard are ranked where they lie; the ranks are those of the merge."""
+    from pairrank.operators.ranking import rank_within
+    rows = small_data.seen.select("shard", "user_idx", "item_idx")
+    ranks, merges = [], []
+    for few in (False, True):
+        ranked = rank_within(rows, ["shard"], ["user_idx", "item_idx"], "r", num_parts=5, few_groups=few)
+        ranks.append(sorted(map(tuple, ranked.collect())))
+        plan = ranked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        merges.append("SortMergeJoin" in plan)
+    assert merges == [True, False]
+    want, seen = [], {}
+    for shard, user, item in sorted(map(tuple, rows.collect())):
+        want.append((shard, user, item, seen.setdefault(shard, 0)))
+        seen[shard] += 1
+    assert ranks[0] == ranks[1] == want
+
+
 def test_dense_samples_get_all_items_without_an_aggregate(spark, small_data):
     """With more samples than items in all shards no distinct items are looked for, and the result is the same."""
     from pairrank.operators.factors import init_factors
