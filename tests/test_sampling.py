@@ -157,3 +157,11 @@ def test_stats_plan_has_no_expand(spark):
     assert "Expand" not in stats._jdf.queryExecution().toString()
     assert tuple(stats.first()) == (5, 2, 2, 2, 1, 2, 5, 6)
     assert tuple(interaction_stats(df.where("false")).first()) == (0, 0, 0, 0, None, None, None, None)
+
+
+def test_ranks_before_items_above_all_unseen_ones(spark):
+    """User 1 has seen 1, 2 and 17 of 17 items: the last block of its unseen ones has no gap."""
+    from pyspark.sql import functions as F
+    seen = spark.createDataFrame([(1, 1, 0), (1, 2, 1), (1, 17, 2)], "user_idx bigint, item_idx bigint, item_rank bigint")
+    draws = spark.range(14).select(F.lit(1).cast("bigint").alias("user_idx"), F.col("id").alias("r"))
+    assert {x.r: x.neg_idx for x in unrank_unseen(draws, seen, 17).collect()} == {r: r + 3 for r in range(14)}
